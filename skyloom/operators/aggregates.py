@@ -58,13 +58,13 @@ def has_rows(df: DataFrame, locations: DataFrame, keys: Sequence[str]) -> DataFr
 
 # ---- exact quantiles -----------------------------------------------------
 
-def exact_median(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-                 buckets: int = 1024) -> DataFrame:
-    """Exact median per key and column as (keys, column, median), NULLs ignored.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+                    keys: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+    """Exact linear-interpolated quantiles per key and column: (keys, column, q_0, q_1, ...).
 
     Equal values collapse to counts before the shuffle. Distinct values fall into ``buckets``
-    equal-width buckets per key; bucket totals locate the middle ranks, and only the buckets that
-    hold them are ordered. No task sees all values of a key.
+    equal-width buckets per key; bucket totals locate the wanted ranks, and only the buckets that
+    hold one are ordered. No task sees all values of a key. NULLs are ignored.
     """
     ids = [*keys, "__column"]
     long = df.select(*keys, *columns).unpivot(list(keys), list(columns), "__column", "__value")
@@ -77,22 +77,37 @@ def exact_median(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()
         "__bucket", F.coalesce(F.floor(share * buckets), F.lit(0)))
     totals = bucketed.groupBy(*ids, "__bucket", "__total").agg(F.sum("__n").alias("__in"))
     before = Window.partitionBy(*ids).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    low_rank = F.floor((F.col("__total") - 1) / 2)
-    high_rank = F.floor(F.col("__total") / 2)
-    hit = totals.withColumn("__before", F.coalesce(F.sum("__in").over(before), F.lit(0))).where(
-        (low_rank < F.col("__before") + F.col("__in")) & (high_rank >= F.col("__before")))
-    ranked = Window.partitionBy(*ids, "__bucket").orderBy("__value")
-    inside = (bucketed.join(hit.select(*ids, "__bucket", "__before"), [*ids, "__bucket"])
-              .withColumn("__upto", F.col("__before") + F.sum("__n").over(
-                  ranked.rowsBetween(Window.unboundedPreceding, 0))))
+    totals = totals.withColumn("__before", F.coalesce(F.sum("__in").over(before), F.lit(0)))
+
+    spots = [(F.col("__total") - 1) * F.lit(float(p)) for p in probabilities]
+    wanted = F.lit(False)
+    for spot in spots:
+        wanted = wanted | ((F.floor(spot) < F.col("__before") + F.col("__in"))
+                           & (F.ceil(spot) >= F.col("__before")))
+    hit = totals.where(wanted).select(*ids, "__bucket", "__before")
+    ranked = Window.partitionBy(*ids, "__bucket").orderBy("__value").rowsBetween(
+        Window.unboundedPreceding, 0)
+    inside = bucketed.join(hit, [*ids, "__bucket"]).withColumn(
+        "__upto", F.col("__before") + F.sum("__n").over(ranked))
     below = F.col("__upto") - F.col("__n")
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= below) & (rank < F.col("__upto")), F.col("__value")))
 
-    return (inside.groupBy(*ids).agg(at(low_rank).alias("__a"), at(high_rank).alias("__b"))
-            .select(*keys, F.col("__column").alias("column"),
-                    ((F.col("__a") + F.col("__b")) / F.lit(2.0)).alias("median")))
+    ends = []
+    for i, spot in enumerate(spots):
+        ends += [at(F.floor(spot)).alias(f"__a{i}"), at(F.ceil(spot)).alias(f"__b{i}")]
+    out = inside.groupBy(*ids, "__total").agg(*ends)
+    values = []
+    for i, spot in enumerate(spots):
+        a, b = F.col(f"__a{i}"), F.col(f"__b{i}")
+        values.append((a + (b - a) * (spot - F.floor(spot))).alias(f"q_{i}"))
+    return out.select(*keys, F.col("__column").alias("column"), *values)
+
+
+def exact_median(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, column, median)."""
+    return exact_quantiles(df, columns, [0.5], keys).withColumnRenamed("q_0", "median")
 
 
 def median_fill(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -174,7 +189,8 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFram
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    median = exact_median(df, columns).withColumnRenamed("median", "50%")
-    out = base.join(median, "column")
-    return out.select("column", "count", *[F.round(c, digits).alias(c.strip("%"))
-                                           for c in ("mean", "std", "min", "`50%`", "max")])
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).withColumnsRenamed(
+        {"q_0": "p25", "q_1": "p50", "q_2": "p75"})
+    rounded = [F.round(c, digits).alias(c) for c in
+               ("mean", "std", "min", "p25", "p50", "p75", "max")]
+    return base.join(quartiles, "column").select("column", "count", *rounded)

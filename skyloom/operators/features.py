@@ -275,38 +275,41 @@ def hourly_matrix(df: DataFrame, series: Series, drop_missing: bool = True) -> D
     return out.dropna(how="any", subset=[*hourly_columns(), *aliases]) if drop_missing else out
 
 
-def horizon_cross(df: DataFrame, series: Series, columns: Sequence[str], horizon: int,
-                  lookback: int = 0, build=None) -> DataFrame:
-    """Every origin row times 1..``horizon`` with the values ``horizon`` rows ahead.
+def horizon_cross(df: DataFrame, series: Series, columns: Sequence[str], horizon: int, *,
+                  gap: int = 1, lookback: int = 0, build=None) -> DataFrame:
+    """Every origin row times ``horizon`` 1..H with the values ``horizon - 1 + gap`` rows ahead.
 
     The rows ahead are gathered by one bounded frame and unfolded in place; there is no
-    self-join. Origins near the end, with fewer rows ahead, give fewer rows.
+    self-join. Origins near the end, with fewer rows ahead, give fewer rows. ``build`` adds
+    columns at the origin.
     """
     def frames(w: WindowSpec) -> list[Column]:
-        ahead = F.collect_list(F.struct(
-            F.col(series.time).alias("__target_time"),
-            *[F.col(c).alias(f"__ahead_{c}") for c in columns])).over(w.rowsBetween(1, horizon))
+        row = F.struct(F.col(series.time).alias("__target_time"),
+                       *[F.col(c).alias(f"__ahead_{c}") for c in columns])
+        ahead = F.collect_list(row).over(w.rowsBetween(gap, gap + horizon - 1))
         return [ahead.alias("__ahead"), *(build(w) if build else [])]
 
-    out = in_blocks(df, series, frames, lookback=lookback, lookahead=horizon)
-    out = out.select("*", F.posexplode("__ahead").alias("__h", "__row_ahead")).drop("__ahead")
-    return out.select(
-        *[c for c in out.columns if c not in ("__h", "__row_ahead", *columns)],
-        (F.col("__h") + 1).alias("horizon"), F.col("__row_ahead.__target_time").alias("target_time"),
-        *[F.col(f"__row_ahead.__ahead_{c}").alias(c) for c in columns])
+    out = in_blocks(df, series, frames, lookback=lookback, lookahead=horizon + gap)
+    kept = [c for c in out.columns if c not in ("__ahead", *columns)]
+    out = out.select(*kept, F.posexplode("__ahead").alias("__h", "__r"))
+    return out.select(*kept, (F.col("__h") + 1).alias("horizon"),
+                      F.col("__r.__target_time").alias("target_time"),
+                      *[F.col(f"__r.__ahead_{c}").alias(c) for c in columns])
 
 
-def direct_matrix(df: DataFrame, series: Series, *, horizon: int = 24, max_days: int | None = 5 * 365,
-                  gap: int = 1, last_day_complete: bool = True) -> DataFrame:
-    """Direct multi-horizon rows: features of the rows before the origin, target ``h`` ahead.
+def direct_matrix(df: DataFrame, series: Series, *, horizon: int = 24,
+                  max_days: int | None = 5 * 365, gap: int = 1, serving: bool = False) -> DataFrame:
+    """Direct multi-horizon rows: features of the rows before the origin, targets ahead of it.
 
-    Lags look ``k`` rows behind the origin and rolling windows end just before it, as in training
-    and serving alike. Origins need the longest lag behind them and, with ``last_day_complete``,
-    ``horizon`` + ``gap`` rows behind the end as the training rule asks.
+    Lags look ``k`` rows behind the origin and rolling windows end just before it. Training
+    takes every origin with the longest lag behind it and ``horizon`` rows ahead; ``serving``
+    takes the first row of every day and the hours of that day, so nothing of the day itself is
+    used.
     """
     aliases = config.HOURLY_TARGETS
     if max_days is not None:
         df = training_lookback(df, series, max_days)
+    far = max(config.HOURLY_LAGS)
 
     def build(w: WindowSpec) -> list[Column]:
         out = []
@@ -314,22 +317,24 @@ def direct_matrix(df: DataFrame, series: Series, *, horizon: int = 24, max_days:
             out += lag_columns([c], config.HOURLY_LAGS, w, a + "_lag_{k}")
             for n in config.HOURLY_WINDOWS:
                 frame = w.rowsBetween(-n, -1)
+                spread = F.coalesce(F.stddev_samp(c).over(frame), F.lit(0.0))
                 out += [F.avg(c).over(frame).alias(f"{a}_roll_mean_{n}"),
-                        F.coalesce(F.stddev_samp(c).over(frame), F.lit(0.0)).alias(f"{a}_roll_std_{n}")]
-        far = max(config.HOURLY_LAGS)
-        out.append(F.lag(F.lit(1), far).over(w).alias("__warm"))
-        out.append(F.lead(F.lit(1), horizon).over(w).alias("__ripe"))
-        return out
-
-    crossed = horizon_cross(df, series, list(aliases), horizon, max(config.HOURLY_LAGS), build)
-    rows = crossed.where(F.col("__warm").isNotNull())
-    if last_day_complete:
+                        spread.alias(f"{a}_roll_std_{n}")]
+        return out + [F.lag(F.lit(1), far).over(w).alias("__warm"),
+                      F.lead(F.lit(1), horizon).over(w).alias("__ripe"),
+                      F.lag(F.to_date(series.time)).over(w).alias("__day_before")]
+
+    rows = horizon_cross(df, series, list(aliases), horizon, gap=gap, lookback=far, build=build)
+    rows = rows.where(F.col("__warm").isNotNull())
+    if serving:
+        day = F.to_date(series.time)
+        rows = rows.where((F.col("__day_before") < day) & (F.to_date("target_time") == day))
+    else:
         rows = rows.where(F.col("__ripe").isNotNull())
-    calendar_columns = calendar.cyclic_hourly("target_time")
+    base = set(hourly_columns())
     return rows.select(
-        *series.keys, series.time, "target_time", "horizon",
-        *[c for c in rows.columns if c in set(hourly_columns())],
-        *calendar_columns, *calendar.horizon_waves("horizon", horizon), *aliases)
+        *series.keys, series.time, "target_time", "horizon", *[c for c in rows.columns if c in base],
+        *calendar.cyclic_hourly("target_time"), *calendar.horizon_waves("horizon", horizon), *aliases)
 
 
 def training_lookback(df: DataFrame, series: Series, days: int, per_key: bool = False) -> DataFrame:
