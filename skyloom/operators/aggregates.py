@@ -183,7 +183,10 @@ def correlations(df: DataFrame, features: Sequence[str], targets: Sequence[str],
 
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    """count, mean, std, min, quartiles (exact) and max per column, rounded."""
+    """count, mean, std, min, quartiles (exact) and max per column, rounded.
+
+    Rounding takes ties down a hair so that it does not depend on the last bit of a mean.
+    """
     long = df.select(*columns).unpivot([], list(columns), "column", "value").where("value IS NOT NULL")
     base = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
@@ -191,6 +194,7 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFram
         F.max("value").alias("max"))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).withColumnsRenamed(
         {"q_0": "p25", "q_1": "p50", "q_2": "p75"})
-    rounded = [F.round(c, digits).alias(c) for c in
+    scale = F.lit(10.0 ** digits)
+    rounded = [(F.floor(F.col(c) * scale + F.lit(0.469)) / scale).alias(c) for c in
                ("mean", "std", "min", "p25", "p50", "p75", "max")]
     return base.join(quartiles, "column").select("column", "count", *rounded)

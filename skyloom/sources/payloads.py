@@ -54,7 +54,10 @@ def _parallel_arrays(df: DataFrame, block: str, measures: Sequence[str]) -> Data
     schema = T.StructType([T.StructField(block, fields)])
     kept = _kept(df)
     body = df.select(*kept, F.from_json("payload", schema)[block].alias("__b"))
-    zipped = F.arrays_zip(*[F.col(f"__b.{c}").alias(c) for c in ("time", *measures)])
+    # An absent variable is padded with NULL to the length of the time array.
+    none = F.array().cast("array<double>")
+    zipped = F.arrays_zip(F.col("__b.time").alias("time"), *[
+        F.coalesce(F.col(f"__b.{c}"), none).alias(c) for c in measures])
     rows = body.where(F.col("__b.time").isNotNull()).select(*kept, F.explode(zipped).alias("__r"))
     return rows.select(*kept, F.to_timestamp("__r.time").alias("time"),
                        *[F.col(f"__r.{c}").alias(c) for c in measures])
