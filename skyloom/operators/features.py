@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, WindowSpec
@@ -15,6 +15,7 @@ from skyloom.functions.scalar import shift_time
 from skyloom.operators.grid import fill_both
 from skyloom.operators.joins import left_join_external
 from skyloom.operators.series import (
+    BLOCK,
     Series,
     in_blocks,
     place_in_blocks,
@@ -30,36 +31,117 @@ def lag_columns(columns: Sequence[str], lags: Sequence[int], w: WindowSpec,
     return [F.lag(c, k).over(w).alias(names.format(c=c, k=k)) for c in columns for k in lags]
 
 
-def rolling_past_columns(columns: Sequence[str], windows: Sequence[int], w: WindowSpec,
-                         names: Mapping[str, str] | None = None) -> list[Column]:
-    """Mean and sample std of the rows before the current one.
+# The moments of a stretch of rows are (n, mean, sum of squared deviations); a stretch without
+# values is (0, 0, 0). Moments of two stretches merge into those of their union.
+Moments = tuple[Column, Column, Column]
 
-    NULL unless at least half of the window (one row at the least) has a value.
+
+def _merge_sql(a: Sequence[str], b: Sequence[str]) -> list[str]:
+    n, apart = f"greatest({a[0]} + {b[0]}, 1D)", f"({b[1]} - {a[1]})"
+    return [f"{a[0]} + {b[0]}", f"{a[1]} + {apart} * ({b[0]} / {n})",
+            f"{a[2]} + {b[2]} + {apart} * {apart} * ({a[0]} * {b[0]} / {n})"]
+
+
+def rolled(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], windows: Sequence[int],
+           finish: Callable[[str, int, Moments, tuple[Column, Column] | None], list[Column]], *,
+           past: bool, extremes: bool = False) -> DataFrame:
+    """Rolling statistics in O(log n) passes instead of n updates per row.
+
+    Pass j knows the statistics of the last 2**j rows and doubles the stretch by looking 2**j
+    rows back; a window is put together from the powers of two it consists of. All columns and
+    windows share the passes, and all passes share one sort. ``past`` leaves the current row out.
+    ``finish`` turns (column, window, moments, (min, max)) into named columns.
     """
+    over = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in (*keys, BLOCK))} ORDER BY __pos)"
+    kinds = ["n", "m", "q", *(["lo", "hi"] if extremes else [])]
+    given, base = rows.columns, []
+    for i, c in enumerate(columns):
+        x = f"lag(`{c}`, 1) {over}" if past else f"`{c}`"
+        base.append(f"cast({x} as double) AS __x{i}")
+    rows = rows.selectExpr("*", *base)
+    start = []
+    for i, _ in enumerate(columns):
+        start += [f"if(__x{i} IS NULL, 0D, 1D) AS __n{i}", f"coalesce(__x{i}, 0D) AS __m{i}", f"0D AS __q{i}"]
+        start += [f"__x{i} AS __{kind}{i}" for kind in kinds[3:]]
+    rows = rows.selectExpr(*[f"`{c}`" for c in given], *start)
+    done: list[str] = []
+    top = max(n.bit_length() for n in windows)
+    for j in range(top):
+        size, lags, step, fresh = 2 ** j, {}, {}, {}
+
+        def back(name: str, k: int) -> str:
+            """The value ``k`` rows back, read once per pass."""
+            if k == 0:
+                return name
+            value = f"lag({name}, {k}) {over}"
+            value = value if name.startswith(("__lo", "__hi")) else f"coalesce({value}, 0D)"
+            lags[f"{name}_b{k}"] = value
+            return f"{name}_b{k}"
+
+        for i, _ in enumerate(columns):
+            mine = [f"__{kind}{i}" for kind in kinds]
+            for n in windows:
+                parts = [f"__w{n}{name}" for name in mine]
+                if n & size:
+                    here = [back(name, (n >> (j + 1)) << (j + 1)) for name in mine[:3]]
+                    if parts[0] in done:
+                        here = _merge_sql(parts[:3], here)
+                    fresh |= dict(zip(parts[:3], here))
+                if extremes and n.bit_length() == j + 1:
+                    fresh[parts[3]] = f"least({mine[3]}, {back(mine[3], n - size)})" if n > size else mine[3]
+                    fresh[parts[4]] = f"greatest({mine[4]}, {back(mine[4], n - size)})" if n > size else mine[4]
+            if j + 1 < top:
+                step |= dict(zip(mine[:3], _merge_sql(mine, [back(name, size) for name in mine[:3]])))
+                if extremes:
+                    step[mine[3]] = f"least({mine[3]}, {back(mine[3], size)})"
+                    step[mine[4]] = f"greatest({mine[4]}, {back(mine[4], size)})"
+        rows = rows.selectExpr("*", *[f"{e} AS {name}" for name, e in lags.items()])
+        kept = [f"`{c}`" for c in (*given, *[d for d in done if d not in fresh])]
+        rows = rows.selectExpr(*kept, *[f"{e} AS {name}" for name, e in {**fresh, **step}.items()])
+        done += [name for name in fresh if name not in done]
     out = []
-    for c in columns:
-        label = names[c] if names else c
+    for i, c in enumerate(columns):
         for n in windows:
-            frame = w.rowsBetween(-n, -1)
-            enough = F.count(c).over(frame) >= max(1, n // 2)
-            out += [F.when(enough, F.avg(c).over(frame)).alias(f"{label}_roll_mean_{n}"),
-                    F.when(enough, F.stddev_samp(c).over(frame)).alias(f"{label}_roll_std_{n}")]
-    return out
+            parts = [F.col(f"__w{n}__{kind}{i}") for kind in kinds]
+            out += finish(c, n, tuple(parts[:3]), tuple(parts[3:]) if extremes else None)
+    return rows.select(*given, *out)
 
 
-def rolling_inclusive_columns(columns: Sequence[str], windows: Mapping[str, int],
-                              w: WindowSpec, extremes: bool = False) -> list[Column]:
-    """Statistics of the rows up to and with the current one; a missing std counts as 0."""
-    out = []
-    for c in columns:
-        for label, n in windows.items():
-            frame = w.rowsBetween(-(n - 1), 0)
-            out += [F.avg(c).over(frame).alias(f"{c}_rmean_{label}"),
-                    F.coalesce(F.stddev_samp(c).over(frame), F.lit(0.0)).alias(f"{c}_rstd_{label}")]
-            if extremes:
-                out += [F.min(c).over(frame).alias(f"{c}_rmin_{label}"),
-                        F.max(c).over(frame).alias(f"{c}_rmax_{label}")]
-    return out
+def _spread(m: Moments) -> Column:
+    """Sample standard deviation; NULL below two values."""
+    return F.when(m[0] > 1, F.sqrt(m[2] / F.greatest(m[0] - 1, F.lit(1.0))))
+
+
+def past_statistics(keys: Sequence[str], columns: Sequence[str], windows: Sequence[int],
+                    names: Mapping[str, str] | None = None, half_full: bool = True):
+    """Prepare step: mean and sample std of the rows before the current one.
+
+    NULL unless at least half of the window (one row at the least) has a value. Without
+    ``half_full`` any value is enough and a missing std is 0.
+    """
+    def finish(c: str, n: int, m: Moments, _) -> list[Column]:
+        label = names[c] if names else c
+        enough = m[0] >= (max(1, n // 2) if half_full else 1)
+        std = F.when(enough, _spread(m))
+        return [F.when(enough, m[1]).alias(f"{label}_roll_mean_{n}"),
+                (std if half_full else F.coalesce(std, F.lit(0.0))).alias(f"{label}_roll_std_{n}")]
+
+    return lambda rows: rolled(rows, keys, columns, windows, finish, past=True)
+
+
+def inclusive_statistics(keys: Sequence[str], columns: Sequence[str], windows: Mapping[str, int],
+                         extremes: bool = False):
+    """Prepare step: statistics of the rows up to and with the current one; no std counts as 0."""
+    labels = {n: label for label, n in windows.items()}
+
+    def finish(c: str, n: int, m: Moments, ends) -> list[Column]:
+        out = [F.when(m[0] > 0, m[1]).alias(f"{c}_rmean_{labels[n]}"),
+               F.coalesce(_spread(m), F.lit(0.0)).alias(f"{c}_rstd_{labels[n]}")]
+        if extremes:
+            out += [ends[0].alias(f"{c}_rmin_{labels[n]}"), ends[1].alias(f"{c}_rmax_{labels[n]}")]
+        return out
+
+    return lambda rows: rolled(rows, keys, columns, list(labels), finish, past=False, extremes=extremes)
 
 
 def diff_columns(columns: Sequence[str], periods: Mapping[str, int], w: WindowSpec) -> list[Column]:
@@ -82,16 +164,15 @@ def lag_features(df: DataFrame, series: Series, columns: Sequence[str],
 
 def rolling_past(df: DataFrame, series: Series, columns: Sequence[str],
                  windows: Sequence[int] = config.WINDOWS) -> DataFrame:
-    return in_blocks(df, series, lambda w: rolling_past_columns(columns, windows, w),
-                     lookback=max(windows))
+    return in_blocks(df, series, lambda w: [], lookback=max(windows),
+                     prepare=past_statistics(series.keys, columns, windows))
 
 
 def rolling_inclusive(df: DataFrame, series: Series, columns: Sequence[str],
                       windows: Mapping[str, int] = config.STATION_WINDOWS,
                       extremes: bool = False) -> DataFrame:
-    return in_blocks(df, series,
-                     lambda w: rolling_inclusive_columns(columns, windows, w, extremes),
-                     lookback=max(windows.values()) - 1)
+    return in_blocks(df, series, lambda w: [], lookback=max(windows.values()) - 1,
+                     prepare=inclusive_statistics(series.keys, columns, windows, extremes))
 
 
 def diff_features(df: DataFrame, series: Series, columns: Sequence[str],
@@ -198,12 +279,13 @@ def feature_matrix(df: DataFrame, series: Series, *, measures: Sequence[str] = c
     source = df if imputed else impute(df, series, measures)
 
     def build(w: WindowSpec) -> list[Column]:
-        out = lag_columns(measures, lags, w) + rolling_past_columns(measures, windows, w)
+        out = lag_columns(measures, lags, w)
         if "wind_direction_10m" in measures:
             out += wind_direction_columns("wind_direction_10m", w)
         return out
 
-    built = in_blocks(source, series, build, lookback=max([*lags, *windows]))
+    built = in_blocks(source, series, build, lookback=max([*lags, *windows]),
+                      prepare=past_statistics(series.keys, measures, windows))
     names = matrix_columns(measures, lags, windows)
     ready = built.select(*series.keys, series.time, *targets, *[
         c for c in built.columns if c in set(names)], *calendar.cyclic(series.time))
@@ -233,11 +315,11 @@ def station_matrix(df: DataFrame, series: Series, provider: DataFrame | None = N
 
     def build(w: WindowSpec) -> list[Column]:
         return (lag_columns(targets, lags, w, "{c}_lag{k}")
-                + rolling_inclusive_columns(targets, config.STATION_WINDOWS, w)
                 + diff_columns(targets, {"1h": 4, "24h": 96}, w))
 
     averaged = ema(df, series, targets, gapless=gapless)
-    out = in_blocks(averaged, series, build, lookback=max([*lags, 96]))
+    out = in_blocks(averaged, series, build, lookback=max([*lags, 96]),
+                    prepare=inclusive_statistics(series.keys, targets, config.STATION_WINDOWS))
     out = out.select("*", *calendar.station(series.time), *weather.station_interactions())
     out = left_join_external(out, provider, series, [f"om_{c}" for c in targets])
     out = left_join_external(out, outlook, series, ["vedas_temperature", "vedas_solar_potential"])
@@ -267,16 +349,17 @@ def hourly_matrix(df: DataFrame, series: Series, drop_missing: bool = True) -> D
         out = []
         for c, a in aliases.items():
             out += lag_columns([c], config.HOURLY_LAGS, w, a + "_lag_{k}")
-        return out + rolling_past_columns(list(aliases), config.HOURLY_WINDOWS, w, aliases)
+        return out
 
-    out = in_blocks(df, series, build, lookback=max(config.HOURLY_LAGS))
+    out = in_blocks(df, series, build, lookback=max(config.HOURLY_LAGS),
+                    prepare=past_statistics(series.keys, list(aliases), config.HOURLY_WINDOWS, aliases))
     out = out.select("*", *calendar.cyclic_hourly(series.time)).select(
         *series.keys, series.time, *hourly_columns(), *aliases)
     return out.dropna(how="any", subset=[*hourly_columns(), *aliases]) if drop_missing else out
 
 
 def horizon_cross(df: DataFrame, series: Series, columns: Sequence[str], horizon: int, *,
-                  gap: int = 1, lookback: int = 0, build=None) -> DataFrame:
+                  gap: int = 1, lookback: int = 0, build=None, prepare=None) -> DataFrame:
     """Every origin row times ``horizon`` 1..H with the values ``horizon - 1 + gap`` rows ahead.
 
     The rows ahead are gathered by one bounded frame and unfolded in place; there is no
@@ -289,7 +372,7 @@ def horizon_cross(df: DataFrame, series: Series, columns: Sequence[str], horizon
         ahead = F.collect_list(row).over(w.rowsBetween(gap, gap + horizon - 1))
         return [ahead.alias("__ahead"), *(build(w) if build else [])]
 
-    out = in_blocks(df, series, frames, lookback=lookback, lookahead=horizon + gap)
+    out = in_blocks(df, series, frames, lookback=lookback, lookahead=horizon + gap, prepare=prepare)
     kept = [c for c in out.columns if c not in ("__ahead", *columns)]
     out = out.select(*kept, F.posexplode("__ahead").alias("__h", "__r"))
     return out.select(*kept, (F.col("__h") + 1).alias("horizon"),
@@ -315,16 +398,12 @@ def direct_matrix(df: DataFrame, series: Series, *, horizon: int = 24,
         out = []
         for c, a in aliases.items():
             out += lag_columns([c], config.HOURLY_LAGS, w, a + "_lag_{k}")
-            for n in config.HOURLY_WINDOWS:
-                frame = w.rowsBetween(-n, -1)
-                spread = F.coalesce(F.stddev_samp(c).over(frame), F.lit(0.0))
-                out += [F.avg(c).over(frame).alias(f"{a}_roll_mean_{n}"),
-                        spread.alias(f"{a}_roll_std_{n}")]
         return out + [F.lag(F.lit(1), far).over(w).alias("__warm"),
                       F.lead(F.lit(1), horizon).over(w).alias("__ripe"),
                       F.lag(F.to_date(series.time)).over(w).alias("__day_before")]
 
-    rows = horizon_cross(df, series, list(aliases), horizon, gap=gap, lookback=far, build=build)
+    rows = horizon_cross(df, series, list(aliases), horizon, gap=gap, lookback=far, build=build,
+                         prepare=past_statistics(series.keys, list(aliases), config.HOURLY_WINDOWS, aliases, half_full=False))
     rows = rows.where(F.col("__warm").isNotNull())
     if serving:
         day = F.to_date(series.time)

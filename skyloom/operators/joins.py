@@ -77,7 +77,7 @@ def nearest_asof(df: DataFrame, other: DataFrame, series: Series, columns: Seque
     left = df.select(*keys, time, F.lit(1).alias("__side"), F.struct(
         *(rest or [F.lit(1).alias("__none")])).alias("__row"))
     stacked = left.unionByName(right, allowMissingColumns=True)
-    near = with_neighbours(stacked, series, ["__match"], tie=[F.col("__side")])
+    near = with_neighbours(stacked, series, ["__match"], tie=["__side"])
     at = series.at()
     back, ahead = at - F.col("__pt___match"), F.col("__nt___match") - at
     take_back = F.col("__pv___match").isNotNull() & (ahead.isNull() | (back <= ahead))

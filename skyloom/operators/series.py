@@ -55,64 +55,50 @@ class Series:
 def with_neighbours(df: DataFrame, series: Series, columns: Sequence[str], *,
                     back: bool = True, ahead: bool = True, strict: bool = False,
                     strict_back: Sequence[str] = (), at: Column | None = None,
-                    tie: Sequence[Column] = ()) -> DataFrame:
+                    tie: Sequence[str] = ()) -> DataFrame:
     """Add the nearest non-NULL value of each column on either side of every row.
 
     Adds ``__pt_c`` / ``__pv_c`` (coordinate and value at or before the row) and ``__nt_c`` /
     ``__nv_c`` (at or after it; strictly after with ``strict``). Columns in ``strict_back`` look
-    strictly before the row. ``at`` is the BIGINT coordinate, microseconds by default. ``tie``
-    orders rows that share a coordinate.
+    strictly before the row. ``at`` is the BIGINT coordinate, microseconds by default.
+    Columns in ``tie`` order rows that share a coordinate.
     """
     at = series.at() if at is None else at
     keys = list(series.keys)
     pieces = df.withColumn("__at", at).withColumn(
         CHUNK, series.chunk_of(F.unix_micros(F.col(series.time))))
 
-    summary = []
-    for c in columns:
-        seen = F.when(F.col(c).isNotNull(), F.col("__at"))
-        if back:
-            summary += [F.max(seen).alias(f"__lt_{c}"), F.max_by(c, seen).alias(f"__lv_{c}")]
-        if ahead:
-            summary += [F.min(seen).alias(f"__ft_{c}"), F.min_by(c, seen).alias(f"__fv_{c}")]
-    ends = pieces.groupBy(*keys, CHUNK).agg(*summary)
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    summary, carried, added, helpers = [], [], [], ["__at", CHUNK]
+    by = ", ".join(f"`{k}`" for k in keys)
     # A frame that ends at the last row is quadratic in Spark; the mirrored order is not.
-    later = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(
-        Window.unboundedPreceding, -1)
-    carried = []
+    earlier, later = (f"OVER (PARTITION BY {by} ORDER BY {CHUNK} {way} ROWS BETWEEN UNBOUNDED PRECEDING "
+                      "AND 1 PRECEDING)" for way in ("ASC", "DESC"))
+    up = ", ".join(["__at", *[f"`{c}`" for c in tie]])
+    down = ", ".join(["__at DESC", *[f"`{c}` DESC" for c in tie]])
+
+    def frame(order: str, itself: bool) -> str:
+        last = "CURRENT ROW" if itself else "1 PRECEDING"
+        return (f"OVER (PARTITION BY {by}, {CHUNK} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING "
+                f"AND {last})")
+
     for c in columns:
+        seen = f"if(`{c}` IS NOT NULL, __at, NULL)"
+        sides = []
         if back:
-            carried += [F.last(f"__l{x}_{c}", True).over(earlier).alias(f"__cp{x}_{c}") for x in "tv"]
+            summary += [f"max({seen}) AS `__lt_{c}`", f"max_by(`{c}`, {seen}) AS `__lv_{c}`"]
+            sides.append(("p", "l", earlier, frame(up, c not in strict_back)))
         if ahead:
-            carried += [F.last(f"__f{x}_{c}", True).over(later).alias(f"__cn{x}_{c}") for x in "tv"]
-    joined = pieces.join(ends.select(*keys, CHUNK, *carried), [*keys, CHUNK])
-
-    inside = Window.partitionBy(*keys, CHUNK)
-    ordered = inside.orderBy("__at", *tie)
-    forward = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    mirrored = inside.orderBy(F.desc("__at"), *[_flip(t) for t in tie]).rowsBetween(
-        Window.unboundedPreceding, -1 if strict else 0)
-    added, helpers = [], ["__at", CHUNK]
-    for c in columns:
-        present = F.col(c).isNotNull()
-        for x, value in (("t", F.col("__at")), ("v", F.col(c))):
-            held = F.when(present, value)
-            if back:
-                near = F.last(held, True).over(before if c in strict_back else forward)
-                added.append(F.coalesce(near, F.col(f"__cp{x}_{c}")).alias(f"__p{x}_{c}"))
-                helpers.append(f"__cp{x}_{c}")
-            if ahead:
-                near = F.last(held, True).over(mirrored)
-                added.append(F.coalesce(near, F.col(f"__cn{x}_{c}")).alias(f"__n{x}_{c}"))
-                helpers.append(f"__cn{x}_{c}")
-    return joined.select("*", *added).drop(*helpers)
-
-
-def _flip(c: Column) -> Column:
-    """The mirrored order of a numeric tie-break."""
-    return (-c).asc()
+            summary += [f"min({seen}) AS `__ft_{c}`", f"min_by(`{c}`, {seen}) AS `__fv_{c}`"]
+            sides.append(("n", "f", later, frame(down, not strict)))
+        for side, end, outside, inside in sides:
+            for x, value in (("t", seen), ("v", f"`{c}`")):
+                name = f"__c{side}{x}_{c}"
+                carried.append(f"last(`__{end}{x}_{c}`, true) {outside} AS `{name}`")
+                added.append(f"coalesce(last({value}, true) {inside}, `{name}`) AS `__{side}{x}_{c}`")
+                helpers.append(name)
+    ends = pieces.groupBy(*keys, CHUNK).agg(*[F.expr(e) for e in summary])
+    ends = ends.selectExpr(*[f"`{k}`" for k in keys], CHUNK, *carried)
+    return pieces.join(ends, [*keys, CHUNK]).selectExpr("*", *added).drop(*helpers)
 
 
 def with_position(df: DataFrame, series: Series, name: str = "__pos",
@@ -171,11 +157,16 @@ def place_in_blocks(df: DataFrame, series: Series, *, lookback: int = 0, lookahe
 
 def in_blocks(df: DataFrame, series: Series, build: Callable[[WindowSpec], Sequence[Column]], *,
               lookback: int = 0, lookahead: int = 0, block: int | None = None,
-              tie: Sequence[Column] = ()) -> DataFrame:
-    """Evaluate bounded row frames: ``build`` gets the window and returns named columns."""
+              tie: Sequence[Column] = (),
+              prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Evaluate bounded row frames: ``build`` gets the window and returns named columns.
+
+    ``prepare`` may add columns to the placed rows first, in passes over the same window.
+    """
     placed = place_in_blocks(df, series, lookback=lookback, lookahead=lookahead, block=block,
                              tie=tie)
-    return placed.own(placed.df.select("*", *build(placed.window))).drop("__pos")
+    rows = prepare(placed.df) if prepare else placed.df
+    return placed.own(rows.select("*", *build(placed.window))).drop("__pos")
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Column | str, keep: str = "last") -> DataFrame:

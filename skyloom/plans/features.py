@@ -14,7 +14,7 @@ from skyloom.operators.features import (
     feature_matrix,
     incremental_rows,
     lag_columns,
-    rolling_past_columns,
+    past_statistics,
 )
 from skyloom.operators.grid import complete_grid
 from skyloom.operators.series import Series, in_blocks
@@ -50,9 +50,10 @@ def persistence_scores(observations: DataFrame, series: Series, columns: Sequenc
     gridded = complete_grid(observations, series, columns)
 
     def build(w: WindowSpec) -> list[Column]:
-        return lag_columns(columns, lags, w) + rolling_past_columns(columns, windows, w)
+        return lag_columns(columns, lags, w)
 
-    rows = in_blocks(gridded, series.on_complete_grid(), build, lookback=max([*lags, *windows]))
+    rows = in_blocks(gridded, series.on_complete_grid(), build, lookback=max([*lags, *windows]),
+                     prepare=past_statistics(series.keys, columns, windows))
     cells = F.explode(F.array(*[F.struct(
         F.lit(c).alias("metric"), F.col(c).alias("actual"), F.col(f"{c}_lag_{lags[0]}").alias("last_value"),
         F.col(f"{c}_roll_mean_{windows[0]}").alias("recent_mean")) for c in columns]))

@@ -20,6 +20,8 @@ def build_session(app: str = "skyloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Recording the Python call site of every column makes wide plans slow to build.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
