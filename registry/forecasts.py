@@ -238,7 +238,7 @@ def _parts(t: Tables):
 def train_regressors(t: Tables):
     """Held-out scores of one model per target."""
     train, test = _parts(t)
-    fitted = models.train_regressors(train, _BASE, _HT[:2], rounds=8)
+    fitted = models.train_regressors(train, _BASE, _HT[:2], rounds=4)
     scored = models.predict(test, fitted, _BASE)
     return error_metrics(scored, _HT[0], f"pred_{_HT[0]}").withColumn("target", F.lit(_HT[0])).unionByName(
         error_metrics(scored, _HT[1], f"pred_{_HT[1]}").withColumn("target", F.lit(_HT[1])))
@@ -248,14 +248,14 @@ def train_regressors(t: Tables):
 def hyperparameter_search(t: Tables):
     train, test = _parts(t)
     rows = train.withColumn("is_validation", F.lit(False)).unionByName(test.withColumn("is_validation", F.lit(True)))
-    grid_ = [{"maxIter": 4, "maxDepth": 3, "stepSize": 0.3}, {"maxIter": 4, "maxDepth": 5, "stepSize": 0.3}]
+    grid_ = [{"maxIter": 2, "maxDepth": 3, "stepSize": 0.3}, {"maxIter": 2, "maxDepth": 5, "stepSize": 0.3}]
     return models.hyperparameter_search(rows, _BASE, _HT[0], grid_)
 
 
 @query()
 def feature_importance(t: Tables):
     train, _ = _parts(t)
-    fitted = models.train_regressors(train, _BASE, _HT[:1], rounds=8, kind="forest")
+    fitted = models.train_regressors(train, _BASE, _HT[:1], rounds=4, kind="forest")
     return top_features(models.feature_importance(fitted, _BASE, t.spark))
 
 
@@ -264,7 +264,7 @@ def direct_forecast(t: Tables):
     observations = cut_lineage(t.grid(_HT).dropna(how="any", subset=_HT))
     past = observations.where(F.col("time") <= ts("2024-01-20 00:00:00"))
     rows = cut_lineage(feats.direct_matrix(past, FULL))
-    fitted = models.train_regressors(rows, _DIRECT, _HT, rounds=4)
+    fitted = models.train_regressors(rows, _DIRECT, _HT, rounds=1)
     return plans.direct_forecast(observations, FULL, fitted, since=ts("2024-01-20 00:00:00"))
 
 
@@ -274,7 +274,7 @@ def recursive_forecast(t: Tables):
     matrix = cut_lineage(feats.feature_matrix(observations, FULL, measures=TARGETS, targets=TARGETS, lags=SHORT_LAGS,
                                               windows=SHORT_WINDOWS, imputed=True))
     names = feats.matrix_columns(TARGETS, SHORT_LAGS, SHORT_WINDOWS)
-    fitted = models.train_regressors(matrix, names, TARGETS, rounds=3)
+    fitted = models.train_regressors(matrix, names, TARGETS, rounds=1)
     aligned = postprocess.provider_align(t.forecast("provider"), observations, HOURLY, TARGETS, 24)
     return plans.recursive_forecast(observations, aligned, HOURLY, fitted, measures=TARGETS, lags=SHORT_LAGS,
                                     windows=SHORT_WINDOWS, steps=24, block=12)
@@ -285,19 +285,19 @@ def on_demand_cycle(t: Tables):
     observations = t.grid(TARGETS)
     runs = observations.select("site", F.col("time").alias("trained_at"))
     rows, _ = plans.cycle(observations, t.forecast("provider"), runs, HOURLY, ts("2024-02-05 00:00:00"), measures=TARGETS,
-                          lags=SHORT_LAGS, windows=SHORT_WINDOWS, steps=24, block=24, rounds=3)
+                          lags=SHORT_LAGS, windows=SHORT_WINDOWS, steps=24, block=24, rounds=1)
     return rows
 
 
 @query()
 def leak_test_shuffle(t: Tables):
     train, test = _parts(t)
-    return models.leak_test_shuffle(train, test, HOURLY, _BASE, _HT[0], rounds=6)
+    return models.leak_test_shuffle(train, test, HOURLY, _BASE, _HT[0], rounds=3)
 
 
 @query()
 def leak_test_realism(t: Tables):
     train, test = _parts(t)
-    return models.leak_test_realism(train, test, _BASE, _HT[0], rounds=6)
+    return models.leak_test_realism(train, test, _BASE, _HT[0], rounds=3)
 
 
