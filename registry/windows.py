@@ -24,7 +24,6 @@ from skyloom import config
 from skyloom.functions import calendar, solar, weather
 from skyloom.operators import features as feats
 from skyloom.operators.joins import merge_outer
-from skyloom.operators.grid import complete_grid
 from skyloom.plans.features import incremental_features
 
 GRID2 = base(sql_obs(TWO), sql_grid(TWO))
@@ -258,9 +257,8 @@ _W_COLS = ["temperature_2m", "cloud_cover", "wind_speed_10m", "pressure_msl", "w
 
 
 def wide_observations(t: Tables):
-    """All 23 measures of both providers, one row per station and hour of its grid."""
-    merged = merge_outer(t.obs(), t.obs2(), ["site", "time"])
-    return complete_grid(merged, HOURLY, list(config.MEASURES), fill="none")
+    """All 23 measures of both providers on the complete grid of every station."""
+    return feats.imputed_grid(merge_outer(t.obs(), t.obs2(), ["site", "time"]), HOURLY)
 
 
 def _fill(c: str, source: str) -> str:
@@ -288,7 +286,7 @@ _WIDE = ",\n".join([
            doubles=_WIDE_SAMPLE))
 def feature_matrix(t: Tables):
     """The 308-column matrix of every station, summarised per station."""
-    matrix = feats.feature_matrix(wide_observations(t), FULL)
+    matrix = feats.feature_matrix(wide_observations(t), FULL, imputed=True)
     return matrix.groupBy("site").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in _WIDE_SAMPLE])
 
 

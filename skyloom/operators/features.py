@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skyloom import config
 from skyloom.functions import calendar, weather
 from skyloom.functions.scalar import shift_time
-from skyloom.operators.grid import fill_both
+from skyloom.operators.grid import complete_grid, fill_both
 from skyloom.operators.joins import left_join_external
 from skyloom.operators.series import (
     BLOCK,
@@ -247,11 +247,20 @@ def _ema_scan(df: DataFrame, series: Series, columns: Sequence[str], spans: Sequ
 def impute(df: DataFrame, series: Series, measures: Sequence[str] = config.MEASURES,
            siblings: Mapping[str, str] = config.SIBLINGS) -> DataFrame:
     """Satellite gaps from the sibling measure, then forward and backward fill."""
+    return fill_both(_from_siblings(df, siblings), series, [c for c in measures if c in df.columns])
+
+
+def imputed_grid(df: DataFrame, series: Series, measures: Sequence[str] = config.MEASURES,
+                 siblings: Mapping[str, str] = config.SIBLINGS) -> DataFrame:
+    """:func:`impute` of the completed grid, worked out on the observed rows before they unfold."""
     present = [c for c in measures if c in df.columns]
-    filled = df.select(*[
+    return complete_grid(_from_siblings(df, siblings), series, present, fill="hold")
+
+
+def _from_siblings(df: DataFrame, siblings: Mapping[str, str]) -> DataFrame:
+    return df.select(*[
         F.coalesce(F.col(c), F.col(siblings[c])).alias(c)
         if c in siblings and siblings[c] in df.columns else F.col(c) for c in df.columns])
-    return fill_both(filled, series, present)
 
 
 def matrix_columns(measures: Sequence[str] = config.MEASURES, lags: Sequence[int] = config.LAGS,

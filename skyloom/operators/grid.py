@@ -135,8 +135,8 @@ def complete_grid(df: DataFrame, series: Series, columns: Sequence[str], *,
 
     No grid is joined: each observed row already knows the next one, so it is expanded to the
     missing steps behind it and every value is computed from the two neighbours it carries. The
-    shuffle volume is that of the observed rows, not of the grid. ``fill='none'`` leaves new rows
-    NULL; ``causal`` only looks back. Rows off the grid do not contribute; with
+    shuffle volume is that of the observed rows, not of the grid. ``fill='hold'`` fills forward,
+    then backward; ``fill='none'`` leaves new rows NULL; ``causal`` only looks back. Rows off the grid do not contribute; with
     ``aligned=False`` they still stretch the grid to the step they fall into. ``start`` and
     ``end`` are literals; rows outside them are cropped first.
     """
@@ -184,8 +184,9 @@ def complete_grid(df: DataFrame, series: Series, columns: Sequence[str], *,
         if causal:
             value = F.when(F.col("__i") >= 0, pv)
         else:
+            inner = [_between(c, moment)] if fill == "interpolate" else []
             value = (F.when(F.col("__i") < 0, F.coalesce(F.col(c), nv))
-                     .otherwise(F.coalesce(_between(c, moment), pv, nv)))
+                     .otherwise(F.coalesce(*inner, pv, nv)))
         out.append(F.coalesce(here, value).alias(c))
     return grown.select(*out)
 

@@ -138,3 +138,12 @@ def test_station_matrix_defaults_for_missing_sources(spark):
     assert len(got) == 400 - 288
     assert set(feats.station_columns()) <= set(got.columns)
     assert (got.om_ghi == 0).all() and (got.vedas_temperature == 0).all()
+
+
+def test_imputed_grid_equals_impute_of_grid(spark):
+    from skyloom.operators.grid import complete_grid
+
+    data = {1: random_series(8, n=500, holes=0.5, drop_rows=0.6), 2: random_series(9, n=40, holes=1.0)}
+    df = series_frame(spark, data)
+    want = feats.impute(complete_grid(df, HOURLY, ["x"], fill="none"), HOURLY, ["x"])
+    assert_series(feats.imputed_grid(df, HOURLY, ["x"]), collect(want))
