@@ -171,23 +171,25 @@ def complete_grid(df: DataFrame, series: Series, columns: Sequence[str], *,
         # Only the first row of a series reaches back to the start of the range.
         is_first = F.col("__pt___row").isNull()
         low = F.when(is_first, (F.unix_micros(first) - at) / step).otherwise(F.lit(0)).cast("bigint")
-    grown = near.withColumn("__i", F.explode(F.sequence(low, F.greatest(low, high))))
+    # What a row holds for its stretch is settled before it unfolds; only interpolation also
+    # needs both neighbours at every step. The value of the row itself is its own neighbour.
+    held = {c: (F.col(c) if fill == "none" else F.col(f"__pv_{c}") if causal
+                else F.coalesce(f"__pv_{c}", f"__nv_{c}")).alias(f"__h_{c}") for c in columns}
+    linear = fill == "interpolate" and not causal
+    ends = [f"__{x}_{c}" for c in columns for x in ("pv", "nv", "pt", "nt")] if linear else []
+    grown = near.select(*keys, series.time, *held.values(), *ends,
+                        F.explode(F.sequence(low, F.greatest(low, high))).alias("__i"))
     moment = at + F.col("__i") * step
-
     out = [F.col(k) for k in keys] + [F.timestamp_micros(moment).alias(series.time)]
     for c in columns:
-        here = F.when(F.col("__i") == 0, F.col(c))
+        value = F.col(f"__h_{c}")
         if fill == "none":
-            out.append(here.alias(c))
-            continue
-        pv, nv = F.col(f"__pv_{c}"), F.col(f"__nv_{c}")
-        if causal:
-            value = F.when(F.col("__i") >= 0, pv)
-        else:
-            inner = [_between(c, moment)] if fill == "interpolate" else []
-            value = (F.when(F.col("__i") < 0, F.coalesce(F.col(c), nv))
-                     .otherwise(F.coalesce(*inner, pv, nv)))
-        out.append(F.coalesce(here, value).alias(c))
+            value = F.when(F.col("__i") == 0, value)
+        elif causal:
+            value = F.when(F.col("__i") >= 0, value)
+        elif linear:
+            value = F.coalesce(F.when(F.col("__i") >= 0, _between(c, moment)), value)
+        out.append(value.alias(c))
     return grown.select(*out)
 
 
