@@ -39,8 +39,10 @@ def backfill(archive_payloads: DataFrame, satellite_payloads: DataFrame, series:
 
 def live_update(payloads: DataFrame, series: Series, issue: Column, arrival: str = "arrival",
                 measures: Sequence[str] = config.PROVIDER_MEASURES) -> tuple[DataFrame, DataFrame]:
-    """(observation rows up to the issue, provider forecast rows after it)."""
+    """(observation rows up to the issue, provider forecast rows after it).
+
+    ``series`` is keyed by (lat, lon), which the forecast table needs.
+    """
     rows = latest_rows(parse_hourly_arrays(payloads, measures), series, arrival)
     actual, future = split_actual_forecast(upsample(rows, series, measures), issue, series.time)
-    return actual, prepare_forecast(future.withColumns({"lat": F.lit(None), "lon": F.lit(None)}),
-                                    issue, "provider", "open_meteo", time=series.time)
+    return actual, prepare_forecast(future, issue, "provider", "open_meteo", time=series.time)

@@ -200,3 +200,15 @@ def test_stored_predictions_scope(spark):
     assert views.stored_predictions(df, lat=1.0, lon=1.0).count() == 1
     with pytest.raises(ValueError):
         views.stored_predictions(df, 0)
+
+
+def test_live_update_splits_at_the_issue(spark):
+    from skyloom.plans.observations import live_update
+
+    text = '{"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00", "2024-01-01T02:00"], "temperature_2m": [1.0, 2.0, 4.0]}}'
+    df = spark.createDataFrame([(10.0, 70.0, 1, text)], "lat double, lon double, arrival int, payload string")
+    actual, future = live_update(df, Series(keys=("lat", "lon")), F.lit("2024-01-01 01:00:00").cast("timestamp"),
+                                 measures=["temperature_2m"])
+    assert sorted(r.temperature_2m for r in actual.collect()) == [1.0, 1.25, 1.5, 1.75, 2.0]
+    rows = sorted((r.forecast_type, r.temperature_2m) for r in future.collect())
+    assert rows == [("provider", 2.5), ("provider", 3.0), ("provider", 3.5), ("provider", 4.0)]
