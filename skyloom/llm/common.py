@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 
+def show_package(spark: SparkSession) -> None:
+    """Python workers on this machine find the package where the driver does; clusters get it by ``--py-files``."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    show_package(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 

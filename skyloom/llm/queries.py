@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skyloom.llm.common import documents
 from skyloom.llm.exact_dedup import exact_duplicates
 from skyloom.llm.mixing import mix_sources
+from skyloom.llm.packing import pack_documents
 from skyloom.llm.sharding import assign_shards
+from skyloom.llm.token_store import store_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,11 +33,21 @@ def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(documents(spark, folder))
 
 
+@query
+def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(documents(spark, folder), tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=0)
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(documents(spark, folder))
 
 
+@query
+def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    return store_tokens(documents(spark, folder), tokenizer=public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 ORACLES["op7_exact_dedup"] = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
            FROM documents)
