@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +57,15 @@ def range_parts(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """
     n = shuffle_partitions(df.sparkSession)
     return saved(df.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), name)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows that hold about ``size`` bytes of ``column``, so memory follows neither rows nor
+    batch settings; one longer text is a run of its own."""
+    for batch in batches:
+        if batch.num_rows:
+            lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            run = np.cumsum(lengths + 64) // size
+            edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:]):
+                yield batch.slice(a, b - a)

@@ -17,11 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import saved
+from skyloom.llm.common import saved, slices
 from skyloom.llm.encoding import encoder, ids_crc32
 
 GROUP = 20_000  # pieces packed in one task
-SLICE = 200
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,19 +61,17 @@ def encode_pieces(docs: DataFrame, *, tokenizer: str, end_id: int, join: str = "
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer, join)
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                owner, out = [], []
-                for k, ids in enumerate(tool.encode([t or "" for t in batch.column("text").to_pylist()])):
-                    ids = np.append(ids, np.int32(end_id))
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start:start + capacity]
-                        owner.append(k)
-                        out.append((piece, start, len(part), ids_crc32(part)))
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(owner)), *columns],
-                                                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for batch in slices(batches, "text"):
+            owner, out = [], []
+            for k, ids in enumerate(tool.encode([t or "" for t in batch.column("text").to_pylist()])):
+                ids = np.append(ids, np.int32(end_id))
+                for piece, start in enumerate(range(0, len(ids), capacity)):
+                    part = ids[start:start + capacity]
+                    owner.append(k)
+                    out.append((piece, start, len(part), ids_crc32(part)))
+            columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(owner)), *columns],
+                                             ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return rows.mapInArrow(pieces, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint").withColumn(
         "row", F.monotonically_increasing_id())

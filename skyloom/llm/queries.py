@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyloom.llm.common import documents
+from skyloom.llm.common import documents, fold
 from skyloom.llm.exact_dedup import exact_duplicates
+from skyloom.llm.language import identify_language
 from skyloom.llm.mixing import mix_sources
 from skyloom.llm.packing import pack_documents
 from skyloom.llm.sharding import assign_shards
@@ -28,6 +30,13 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(documents(spark, folder)).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+@query
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = fold(F.col("doc_id"), 4) == 2
+    return identify_language(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(documents(spark, folder))

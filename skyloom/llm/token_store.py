@@ -14,13 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import saved, shuffle_partitions
+from skyloom.llm.common import saved, shuffle_partitions, slices
 from skyloom.llm.encoding import encoder, ids_crc32
 from skyloom.session import work_path
 
 ORC = {"compression": "zstd", "orc.stripe.size": str(64 << 20), "orc.row.index.stride": "1000", "orc.create.index": "true",
        "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
-SLICE = 200  # texts encoded at once
 
 
 def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, join: str = " ", doc_id: str = "doc_id",
@@ -39,19 +38,17 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, joi
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, place = encoder(tokenizer, join), 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                ids = tool.encode([t or "" for t in batch.column("text").to_pylist()])
-                ends = np.cumsum([len(x) + 1 for x in ids])
-                flat = np.full(int(ends[-1]), end_id, np.int32)
-                for x, e in zip(ids, ends):
-                    flat[e - 1 - len(x):e - 1] = x
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("part"), pa.array(np.arange(place, place + batch.num_rows), pa.int64()),
-                     batch.column("doc_id"), lists], ["part", "place", "doc_id", "ids"])
-                place += batch.num_rows
+        for batch in slices(batches, "text"):
+            ids = tool.encode([t or "" for t in batch.column("text").to_pylist()])
+            ends = np.cumsum([len(x) + 1 for x in ids])
+            flat = np.full(int(ends[-1]), end_id, np.int32)
+            for x, e in zip(ids, ends):
+                flat[e - 1 - len(x):e - 1] = x
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("part"), pa.array(np.arange(place, place + batch.num_rows), pa.int64()),
+                 batch.column("doc_id"), lists], ["part", "place", "doc_id", "ids"])
+            place += batch.num_rows
 
     out = rows.mapInArrow(encode, f"part int, place bigint, doc_id {kind.simpleString()}, ids array<int>")
     out.write.options(**ORC).orc(path)
