@@ -12,6 +12,7 @@ from skyloom.llm.common import documents, fold
 from skyloom.llm.exact_dedup import exact_duplicates
 from skyloom.llm.language import identify_language
 from skyloom.llm.mixing import mix_sources
+from skyloom.llm.near_dedup import near_duplicates
 from skyloom.llm.packing import pack_documents
 from skyloom.llm.sharding import assign_shards
 from skyloom.llm.token_store import store_tokens
@@ -52,6 +53,11 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(documents(spark, folder))
 
 
+@query
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder), shingle=2)
+
+
 @query
 def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return store_tokens(documents(spark, folder), tokenizer=public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
