@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm.common import documents, fold
 from skyloom.llm.exact_dedup import exact_duplicates
+from skyloom.llm.fingerprint import edited_fingerprints
 from skyloom.llm.language import identify_language
 from skyloom.llm.mixing import mix_sources
 from skyloom.llm.near_dedup import near_duplicates
@@ -43,6 +44,11 @@ def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(documents(spark, folder))
 
 
+@query
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, folder))
+
+
 @query
 def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents(spark, folder), tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=0)
