@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import SPACES, range_parts, saved
 
 BINS, BITS = 128, 8
+PROBES = 4
 
 
 def shingle_hashes(text: Column, k: int = 5, seed: int = 3) -> Column:
@@ -36,7 +37,7 @@ def bin_values(hashes: Column, bins: int = BINS) -> Column:
     # the top bits are the bin: in sorted order the first hash of each bin is its least
     shift = 64 - (bins.bit_length() - 1)
     of = lambda x: (F.shiftright(x, shift) + F.lit(bins // 2)).cast("int")  # noqa: E731  ascending, as the signed hashes are
-    ranked = F.array_sort(hashes)
+    ranked = F.sort_array(hashes)
     first = lambda h: F.filter(h, lambda x, i: (i == 0) | (of(x) != of(F.get(h, i - 1))))
     return _let(_let(ranked, first), lambda h: F.struct(F.transform(h, of).alias("bin"), h.alias("value")))
 
@@ -47,19 +48,32 @@ def fingerprint(text: Column, k: int = 5, bins: int = BINS, bits: int = BITS) ->
     low = lambda x: F.lower(F.lpad(F.hex(F.shiftrightunsigned(x, 8).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))),
                                    digits, "0"))
 
-    def pack(filled: Column) -> Column:
-        own, values = filled["bin"], F.transform(filled["value"], low)
+    def probe(b: Column, j: Column | int) -> Column:
+        start, stride = F.xxhash64(b, F.lit(1)), F.xxhash64(b, F.lit(2)).bitwiseAND(F.lit(bins // 2 - 1)) * 2 + 1
+        return (start.bitwiseAND(F.lit(bins - 1)) + stride * j).bitwiseAND(F.lit(bins - 1)).cast("int")
 
-        def borrowed(b: Column) -> Column:
-            order = F.transform(own, lambda o, i: F.struct(F.xxhash64(b, o), i.alias("i")))
-            return F.get(values, F.array_min(order)["i"])
-
-        known = F.map_from_arrays(own, values)
-        every = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
-                            lambda b: F.coalesce(F.element_at(known, b), borrowed(b)))
-        return F.array_join(F.when(F.size(own) == bins, values).otherwise(every), "")
+    numbers = F.sequence(F.lit(0), F.lit(bins - 1))
 
-    return _let(bin_values(shingle_hashes(text, k), bins), pack)
+    def complete(own: Column, dense: Column) -> Column:
+        def borrowed(b: Column) -> Column:
+            # the first filled bin in the order of b: a few probes as a rule, else the whole order
+            order = F.transform(numbers, lambda j: probe(b, j))
+            return F.coalesce(*[F.get(dense, probe(b, j)) for j in range(PROBES)],
+                              F.get(dense, F.get(F.array_intersect(order, own), F.lit(0))))
+
+        return F.transform(numbers, lambda b: F.coalesce(F.get(dense, b), borrowed(b)))
+
+    def pack(x: Column) -> Column:
+        full = F.size(x["bin"]) == bins
+        return F.array_join(F.when(full, x["value"]).otherwise(
+            _let(_let(F.map_from_arrays(x["bin"], x["value"]),
+                      lambda known: F.transform(numbers, lambda b: F.element_at(known, b))),
+                 lambda dense: complete(x["bin"], dense))), "")
+
+    filled = _let(bin_values(shingle_hashes(text, k), bins),
+                  lambda x: F.struct(x["bin"].alias("bin"), F.transform(x["value"], low).alias("value")))
+    # a lambda's argument is evaluated once, a plain expression at each use
+    return _let(filled, pack)
 
 
 def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column:
