@@ -12,6 +12,7 @@ from skyloom.llm.common import documents, fold
 from skyloom.llm.exact_dedup import exact_duplicates
 from skyloom.llm.fingerprint import edited_fingerprints
 from skyloom.llm.language import identify_language
+from skyloom.llm.lm_scoring import score_documents
 from skyloom.llm.mixing import mix_sources
 from skyloom.llm.near_dedup import near_duplicates
 from skyloom.llm.packing import pack_documents
@@ -64,6 +65,11 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder), shingle=2)
 
 
+@query
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(documents(spark, folder), "coalesce(crc32(cast(doc_id AS string)), 0) % 5 <> 1")
+
+
 @query
 def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return store_tokens(documents(spark, folder), tokenizer=public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
