@@ -8,7 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyloom.session import work_path
@@ -50,6 +50,20 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def take_rows(docs: DataFrame, key: Column, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in the copies that were decided for them, with all their columns.
+
+    ``decided`` has (key, copies), one row per row of ``docs``. Rows of one key are alike for the decision, so their copies
+    differ by one at most: the first of them take the larger number. ``key`` is a struct, in which nulls are equal.
+    """
+    plan = decided.groupBy("key").agg(F.min("copies").alias("base"), F.sum("copies").alias("all"), F.count(F.lit(1)).alias("n"))
+    plan = plan.where("all > 0").select("key", "base", (F.col("all") - F.col("base") * F.col("n")).alias("more"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key")).join(plan, "key")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    copies = (F.col("base") + F.when(place <= F.col("more"), 1).otherwise(0)).cast("int")
+    return rows.select("row", copies.alias("copies")).select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
+
+
 def range_parts(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` saved in ascending ranges of ``order``; ``part`` numbers the ranges.
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import SPACES, saved
+from skyloom.llm.common import SPACES, saved, take_rows
 
 
 def text_digest(text: Column) -> Column:
@@ -47,3 +47,10 @@ def exact_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     return heavy.unionByName(light).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"),
         F.col("digest").alias("text_sha256"))
+
+
+def drop_exact_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stay by :func:`exact_duplicates`, with all their columns."""
+    decided = exact_duplicates(docs, doc_id=doc_id, text=text).select(
+        F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest")).alias("key"), F.col("kept").cast("int").alias("copies"))
+    return take_rows(docs, F.struct(F.col(doc_id).alias("id"), text_digest(F.col(text)).alias("digest")), decided)

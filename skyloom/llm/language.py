@@ -198,3 +198,17 @@ def identify_language(docs: DataFrame, train: Column, *, doc_id: str = "doc_id",
                                              ["doc_id", "lang_pred", "score"])
 
     return rows.mapInArrow(predict, f"doc_id {kind}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, train: Column, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+                    per_language: int = 64, letters: int = 32_000) -> DataFrame:
+    """The rows whose language :func:`identify_language` can tell, with all their columns: ``und`` goes."""
+    samples = training_sample(docs, train, doc_id=doc_id, text=text, lang=lang, per_language=per_language, letters=letters)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = parser(samples)
+        for batch in slices(batches, text, 8_000_000):
+            names, _ = tool.classify(batch.column(text).to_pylist())
+            yield batch.filter(pa.array([n != "und" for n in names]))
+
+    return docs.mapInArrow(keep, docs.schema)

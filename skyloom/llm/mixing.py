@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import WORD, saved, small
+from skyloom.llm.common import WORD, saved, small, take_rows
 
 EXACT = 1e-12  # fractions this near to 0 or 1 are settled
 
@@ -162,3 +162,11 @@ def mix_sources(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
             .select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", F.col("copies").cast("long").alias("copies"),
                     (F.col("d.size") * F.col("copies")).cast("long").alias("taken")))
+
+
+def take_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows in as many copies as :func:`mix_sources` gives them, with all their columns."""
+    key = lambda d, s, n: F.struct(d.alias("id"), s.alias("source"), n.alias("size")).alias("key")
+    decided = mix_sources(docs, doc_id=doc_id, text=text, source=source, **options).select(
+        key(F.col("doc_id"), F.col("source"), F.col("size")), "copies")
+    return take_rows(docs, key(F.col(doc_id), F.col(source), word_count(F.col(text))), decided)

@@ -18,11 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from skyloom.llm.common import saved, slices, small
+from skyloom.llm.common import saved, slices, small, take_rows
 from skyloom.llm.components import connected_components
 
 SUPPORT = 1 / 1024
@@ -91,7 +90,7 @@ class NearDuplicates:
     """The tables of one run over ``docs``."""
 
     def __init__(self, docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int, chunks: int, width: int) -> None:
-        self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+        self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("mark"))
         self.kind = self.docs.schema["doc_id"].dataType.simpleString()
         self.shingle, self.percent, self.chunks, self.width = shingle, percent, chunks, width
 
@@ -111,10 +110,11 @@ class NearDuplicates:
                     for i, row in zip(full, signatures([sets[i] for i in full], symbols)):
                         digest[i], sign[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-                     pa.array(sign, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+                    [batch.column("doc_id"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(digest, pa.binary()), pa.array(sign, pa.binary())],
+                    ["doc_id", "mark", "n_shingles", "digest", "signature"])
 
-        out = self.docs.mapInArrow(build, f"doc_id {self.kind}, n_shingles bigint, digest binary, signature binary")
+        out = self.docs.mapInArrow(build, f"doc_id {self.kind}, mark bigint, n_shingles bigint, digest binary, signature binary")
         return saved(out.withColumn("row", F.monotonically_increasing_id()), "near-sets")
 
     def keys(self, nodes: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ class NearDuplicates:
         best = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row"))
         keep = rows.groupBy("component").agg(best.alias("best"))
         return rows.join(keep, "component").select(
-            "doc_id", "n_shingles", F.col("best.doc_id").alias("component_id"), (F.col("row") == F.col("best.row")).alias("kept"))
+            "doc_id", "mark", "n_shingles", F.col("best.doc_id").alias("component_id"), (F.col("row") == F.col("best.row")).alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
@@ -246,4 +246,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     come after all others; of rows that repeat an id and a text one is kept. Empty tables give no rows. Other columns
     are not read.
     """
-    return NearDuplicates(docs, doc_id, text, shingle, percent, chunks, width).run()
+    return NearDuplicates(docs, doc_id, text, shingle, percent, chunks, width).run().drop("mark")
+
+
+def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
+                         chunks: int = 16, width: int = 5) -> DataFrame:
+    """The rows that stay by :func:`near_duplicates`, with all their columns."""
+    decided = NearDuplicates(docs, doc_id, text, shingle, percent, chunks, width).run().select(
+        F.struct(F.col("doc_id").alias("id"), "mark").alias("key"), F.col("kept").cast("int").alias("copies"))
+    return take_rows(docs, F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("mark")), decided)
