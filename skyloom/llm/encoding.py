@@ -1,8 +1,9 @@
 """Encoding of many texts with a public tokenizer through their distinct pieces.
 
-A space between two non-space characters ends a pre-token in both word-level and byte-level BPE, so a text encodes to
-the ids of the pieces between such spaces, one after another. Pieces repeat, so each is encoded once per worker and
-looked up afterwards. Texts that spell one of the tokenizer's added tokens are encoded whole.
+A pre-token of the BPE tokenizers here never goes on past a letter that a space, a line break, a full stop or a comma
+follows. So a text encodes to the ids of the pieces between such places, one after another. Pieces repeat, so each is
+encoded once per worker and looked up afterwards. Texts where such marks touch each other are cut at plain spaces only;
+texts that spell one of the tokenizer's added tokens are encoded whole.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core per task
 
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
-_DOUBLE = re.compile(r"\s\s")
-_WHOLE = "\0"  # marks a piece that is encoded as it stands, without the space of the join
-_PLAIN = re.compile(r"([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)")  # one pre-token of Latin letters, then one of marks
-_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
+_CUT = "\1"  # stands before a cut; texts that hold it take the slow path
+_SAFE = re.compile(r"(?<=\S)(?= \S)")
+_TOUCHING = re.compile(r"\s[\s.,]|[^\w\s][.,]|_[.,]|\x01")
+_PLAIN = re.compile(r"([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([;:!?|]*)")  # one pre-token of Latin letters, then one of marks
+_PROBES = ["The", " the", "\nThe", " thionéx", " Überlê"]
+_ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -33,45 +35,43 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    """``join`` is the text a piece after the first starts with: a space where it belongs to the token."""
+    """One tokenizer and its table of known pieces, of which it keeps about ``most``."""
 
-    def __init__(self, path: str, join: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.join, self.most, self.letters = join, most, _byte_letters()
+        self.most, self.letters, self.marks = most, _byte_letters(), {}
+        self.folds = self.tokenizer.normalizer is not None  # lower case, white space dropped
+        # the short cut for plain words holds only for tokenizers that agree on it
+        self.plain = all(self._word(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in _PROBES)
         self._clear()
 
     def _clear(self) -> None:
         self.code: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
         self.starts, self.lengths, self.pool = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
         self.used = 0
 
     def _word(self, text: str) -> list[int]:
         """Ids of a run of Latin letters, which is one pre-token: straight from the merges."""
-        if (ids := self.parts.get(text)) is None:
-            if not self.join:
-                shown = text.strip().lower()
-            elif text[0] == "\n":
-                return self._marks("\n") + self._word(text[1:])
-            else:
-                shown = text
-            shown = shown.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[text] = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        if self.folds:
+            text = text.strip().lower()
+        elif text[0] == "\n":
+            return self._mark("\n") + self._word(text[1:])
+        return [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+
+    def _mark(self, text: str) -> list[int]:
+        if (ids := self.marks.get(text)) is None:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            ids = self.marks[text] = self.tokenizer.encode(text, add_special_tokens=False).ids
         return ids
 
-    def _marks(self, text: str) -> list[int]:
-        if (ids := self.parts.get(text)) is None:
-            ids = self.parts[text] = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return ids
-
-    def _add(self, keys: list[str]) -> None:
-        pieces = [k[1:] if k[:1] == _WHOLE else k if k[:1] == "\n" else self.join + k for k in keys]
-        found = list(map(_PLAIN.fullmatch, pieces))
+    def _add(self, pieces: list[str]) -> None:
+        found = [m if self.plain else None for m in map(_PLAIN.fullmatch, pieces)]
         other = iter(self.tokenizer.encode_batch_fast([p for p, m in zip(pieces, found) if not m], add_special_tokens=False))
-        ids = [(self._word(m[1]) + self._marks(m[2]) if m[2] else self._word(m[1])) if m else next(other).ids for m in found]
+        ids = [(self._word(m[1]) + self._mark(m[2]) if m[2] else self._word(m[1])) if m else next(other).ids for m in found]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.frombuffer(array("i", chain.from_iterable(ids)), np.int32)
         first = len(self.code)
@@ -83,18 +83,24 @@ class PieceEncoder:
         self.lengths[first:first + len(ids)] = lengths
         self.pool[self.used:self.used + len(flat)] = flat
         self.used += len(flat)
-        self.code.update(zip(keys, range(first, first + len(ids))))
+        self.code.update(zip(pieces, range(first, first + len(ids))))
 
     def pieces(self, text: str) -> list[str]:
-        """Keys of the pieces of a text. The first piece has no space before it, the others stand after one space or,
-        where the key starts with a line break, after that."""
+        """The pieces of a text; joined they give it back."""
         if not text:
             return []
-        if _WHOLE in text or any(t in text for t in self.added):
-            return [_WHOLE + text]
-        out = _SAFE.split(text) if _DOUBLE.search(text) else text.replace("\n", " \n").split(" ")
-        out[0] = _WHOLE + out[0]
-        return out
+        if any(t in text for t in self.added):
+            return [text]
+        if _TOUCHING.search(text):
+            return _SAFE.split(text)
+        for mark in (" ", "\n", ".", ","):
+            text = text.replace(mark, _CUT + mark)
+        return text.split(_CUT)
+
+    def is_cut(self, before: str, after: str) -> bool:
+        """Whether no pre-token goes on from a text that ends in the character ``before`` into ``after``: at either end
+        of the text, or before a space between two characters that are none."""
+        return not before or not after or (after[0] == " " and not before.isspace() and len(after) > 1 and not after[1].isspace())
 
     def codes(self, texts: Sequence[str]) -> list[np.ndarray]:
         """For every text the numbers of its pieces in the table of known pieces."""
@@ -119,12 +125,11 @@ class PieceEncoder:
         return out
 
 
-def encoder(path: str, join: str) -> PieceEncoder:
+def encoder(path: str) -> PieceEncoder:
     """One per worker and tokenizer file; its table of pieces serves all tasks of the worker."""
-    key = (path, join)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(path, join)
-    return _ENCODERS[key]
+    if path not in _ENCODERS:
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]
 
 
 def ids_crc32(ids: np.ndarray) -> int:

@@ -53,14 +53,14 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
-def encode_pieces(docs: DataFrame, *, tokenizer: str, end_id: int, join: str = "", capacity: int = 2048, doc_id: str = "doc_id",
+def encode_pieces(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int = 2048, doc_id: str = "doc_id",
                   text: str = "text") -> DataFrame:
     """Pieces of every document: doc_id, piece, start, length, ids_crc32, row (a number of its own)."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(tokenizer, join)
+        tool = encoder(tokenizer)
         for batch in slices(batches, "text"):
             owner, out = [], []
             for k, ids in enumerate(tool.encode([t or "" for t in batch.column("text").to_pylist()])):
@@ -93,7 +93,7 @@ def pack_lengths(items: DataFrame, capacity: int, group: int = GROUP) -> DataFra
     return dealt.groupBy("group").applyInPandas(pack, "row bigint, length bigint, bin bigint, at bigint, fill bigint")
 
 
-def pack_documents(docs: DataFrame, *, tokenizer: str, end_id: int, join: str = "", capacity: int = 2048, group: int = GROUP,
+def pack_documents(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int = 2048, group: int = GROUP,
                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Places all documents in as few sequences of at most ``capacity`` tokens as the rule needs.
 
@@ -102,7 +102,7 @@ def pack_documents(docs: DataFrame, *, tokenizer: str, end_id: int, join: str =
     texts are one piece of length 1. Repeated rows and null ids are documents of their own. Empty tables give no rows.
     Other columns are not read.
     """
-    pieces = saved(encode_pieces(docs, tokenizer=tokenizer, end_id=end_id, join=join, capacity=capacity, doc_id=doc_id,
+    pieces = saved(encode_pieces(docs, tokenizer=tokenizer, end_id=end_id, capacity=capacity, doc_id=doc_id,
                                  text=text), "pack-pieces")
     first = saved(pack_lengths(pieces, capacity, group), "pack-first")
     # sequences that stay open are packed again, as blocks

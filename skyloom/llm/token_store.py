@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import saved, shuffle_partitions, slices
@@ -22,7 +22,7 @@ ORC = {"compression": "zstd", "orc.stripe.size": str(64 << 20), "orc.row.index.s
        "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
 
-def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, join: str = " ", doc_id: str = "doc_id",
+def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, doc_id: str = "doc_id",
                  text: str = "text") -> None:
     """Writes (part, place, doc_id, ids) as ORC under ``path``, in ascending (part, place).
 
@@ -37,7 +37,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, joi
             .withColumn("part", F.spark_partition_id()))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, place = encoder(tokenizer, join), 0
+        tool, place = encoder(tokenizer), 0
         for batch in slices(batches, "text"):
             ids = tool.encode([t or "" for t in batch.column("text").to_pylist()])
             ends = np.cumsum([len(x) + 1 for x in ids])
@@ -54,18 +54,21 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, joi
     out.write.options(**ORC).orc(path)
 
 
-def _ids_crc32(ids: Column) -> Column:
-    @F.pandas_udf("bigint")
-    def crc(values):
-        return values.map(ids_crc32)
-
-    return crc(ids)
-
-
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """What the files hold, per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    rows = saved(spark.read.orc(path).select("part", "place", "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                                             _ids_crc32(F.col("ids")).alias("ids_crc32")), "token-rows")
+    files = spark.read.orc(path).select("part", "place", "doc_id", "ids")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            flat, edges = ids.values.to_numpy(), ids.offsets.to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("part", "place", "doc_id")), pa.array(np.diff(edges), pa.int64()),
+                 pa.array([ids_crc32(flat[a:b]) for a, b in zip(edges, edges[1:])], pa.int64())],
+                ["part", "place", "doc_id", "n_tokens", "ids_crc32"])
+
+    kind = files.schema["doc_id"].dataType.simpleString()
+    rows = saved(files.mapInArrow(measure, f"part int, place bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint"), "token-rows")
     # one row per written range, a number the session sets
     parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
