@@ -17,6 +17,7 @@ from skyloom.llm.mixing import mix_sources
 from skyloom.llm.near_dedup import near_duplicates
 from skyloom.llm.packing import pack_documents
 from skyloom.llm.sharding import assign_shards
+from skyloom.llm.token_counts import count_tokens_after_edits, document_edits
 from skyloom.llm.token_store import store_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +51,12 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(documents(spark, folder))
 
 
+@query
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens_after_edits(documents(spark, folder), tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
+                                    edits=document_edits())
+
+
 @query
 def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents(spark, folder), tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=0)
