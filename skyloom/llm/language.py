@@ -81,12 +81,13 @@ def suffix_automaton(text: np.ndarray, letters: int) -> np.ndarray:
 
 def parse_table(sample: str, alphabet: dict[str, int]) -> np.ndarray:
     """The automaton as one flat table for greedy parsing: entry [state, letter] is the next state's row; where the
-    phrase cannot go on, the state a new phrase with this letter leads to, flagged. Letter 0 is padding and stays."""
+    phrase cannot go on, the state a new phrase with this letter leads to, flagged. The last state is that before a
+    phrase; letters the sample lacks lead back to it. Letter 0 is padding and stays."""
     width = len(alphabet) + 2
     codes = np.array([alphabet[c] for c in sample], np.int32)
     step = suffix_automaton(codes, width)
-    root = np.where(step[0] >= 0, step[0], 0)
-    table = np.where(step >= 0, step, root[None, :] | _NEW).astype(np.int32)
+    begin = np.where(step[0] >= 0, step[0], len(step)) | _NEW
+    table = np.vstack([np.where(step >= 0, step, begin), begin[None, :]]).astype(np.int32)
     states, flags = table & (_NEW - 1), table & _NEW
     table = (states * width) | flags
     table[:, 0] = np.arange(len(table)) * width
@@ -140,7 +141,7 @@ class Parser:
         active = np.searchsorted(-filled[order], -np.arange(LANE), side="left")
         out = np.zeros((n_texts, len(self.tables)))
         for k, table in enumerate(self.tables):
-            state, count = np.zeros(total, np.int32), np.ones(total, np.int32)
+            state, count = np.full(total, len(table) - self.width, np.int32), np.zeros(total, np.int32)
             for i in range(LANE):
                 n = active[i]
                 if not n:
