@@ -61,11 +61,6 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = pin_utc(spark), folder
-        if spark.sparkContext.master.startswith("local"):
-            # Small inputs: window stages are bound by rows, so keep every core busy.
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-            if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-                spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
 
     def raw(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")

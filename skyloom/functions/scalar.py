@@ -71,11 +71,6 @@ def finite_or_zero(c: Column | str) -> Column:
     return F.when(bad, F.lit(0.0)).otherwise(x)
 
 
-def nan_to_null(c: Column | str) -> Column:
-    x = _col(c)
-    return F.when(~F.isnan(x), x)
-
-
 # ---- time ----------------------------------------------------------------
 
 def floor_time(c: Column | str, step_seconds: int) -> Column:

@@ -390,17 +390,18 @@ def horizon_cross(df: DataFrame, series: Series, columns: Sequence[str], horizon
 
 
 def direct_matrix(df: DataFrame, series: Series, *, horizon: int = 24,
-                  max_days: int | None = 5 * 365, gap: int = 1, serving: bool = False) -> DataFrame:
+                  max_days: int | None = None, gap: int = 1, serving: bool = False) -> DataFrame:
     """Direct multi-horizon rows: features of the rows before the origin, targets ahead of it.
 
     Lags look ``k`` rows behind the origin and rolling windows end just before it. Training
-    takes every origin with the longest lag behind it and ``horizon`` rows ahead; ``serving``
+    takes every origin with the longest lag behind it and ``horizon`` rows ahead, of the last
+    ``max_days`` days of each key if that is given; ``serving``
     takes the first row of every day and the hours of that day, so nothing of the day itself is
     used.
     """
     aliases = config.HOURLY_TARGETS
     if max_days is not None:
-        df = training_lookback(df, series, max_days)
+        df = training_lookback(df, series, max_days, per_key=True)
     far = max(config.HOURLY_LAGS)
 
     def build(w: WindowSpec) -> list[Column]:

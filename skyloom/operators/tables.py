@@ -12,6 +12,7 @@ from skyloom.functions.scalar import in_bounding_box, shift_time
 from skyloom.operators.joins import latest_issue
 from skyloom.operators.series import Series, with_position
 
+# Names of the stored table.
 STORED_PREDICTION = {
     "forecast_time": "timestamp",
     "lat": "latitude",
@@ -24,13 +25,7 @@ STORED_PREDICTION = {
     "issue_time": "issue_time",
     "model_version": "model_version",
 }
-STATION_PREDICTION = {
-    "ghi": "GHI_pred",
-    "dhi": "DHI_pred",
-    "temperature": "temperature_pred",
-    "windspeed": "windspeed_pred",
-    "cloud_cover": "cloud_cover_pred",
-}
+# End of fixed values.
 
 
 # ---- projections ---------------------------------------------------------
@@ -66,12 +61,6 @@ def split_actual_forecast(df: DataFrame, issue: Column, time: str = "time") -> t
     return df.where(F.col(time) <= issue), df.where(F.col(time) > issue)
 
 
-def require_future(forecast: DataFrame) -> DataFrame:
-    if forecast.isEmpty():
-        raise ValueError("the payload holds no row after the issue time")
-    return forecast
-
-
 def split_by_bounding_box(df: DataFrame, lat: str = "lat", lon: str = "lon") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected); a NULL coordinate is rejected."""
     ok = in_bounding_box(lat, lon)
@@ -116,10 +105,6 @@ def newest_rows_per_key(df: DataFrame, series: Series, n: int) -> DataFrame:
             .drop("__pos", "__last"))
 
 
-def read_time_series(df: DataFrame, columns: Sequence[str] | None = None, time: str = "time") -> DataFrame:
-    return (df.select(time, *columns) if columns else df).orderBy(time)
-
-
 # ---- long views ----------------------------------------------------------
 
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Sequence[str] = config.TARGETS) -> DataFrame:

@@ -24,14 +24,15 @@ def incremental_features(observations: DataFrame, store: DataFrame, series: Seri
                          measures: Sequence[str] = config.MEASURES,
                          targets: Sequence[str] = config.TARGETS,
                          lags: Sequence[int] = config.LAGS, windows: Sequence[int] = config.WINDOWS,
-                         now: Column | None = None, cold_days: int = 30) -> DataFrame:
-    """Feature rows newer than the stored ones; a new key starts ``cold_days`` back from ``now``.
+                         now: Column | None = None, cold_days: int | None = None) -> DataFrame:
+    """Feature rows newer than the stored ones. A new key starts with its whole history, or, where both are given,
+    ``cold_days`` back from ``now``.
 
     Only the warm-up stretch in front of the new rows is read again.
     """
     warmup = max([*lags, *windows]) + 16
     rows = incremental_rows(observations, store, series, warmup)
-    if now is not None:
+    if now is not None and cold_days is not None:
         known = F.col("__known").isNotNull()
         rows = rows.where(known | (F.col(series.time) >= shift_time(now, -cold_days * 86400)))
     matrix = feature_matrix(rows.drop("__known"), series, measures=measures, targets=targets, lags=lags,

@@ -48,6 +48,11 @@ def _kept(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != "payload"]
 
 
+def split_bad_times(rows: DataFrame, time: str = "time") -> tuple[DataFrame, DataFrame]:
+    """(usable, rejected): parsers give NULL for a time text they cannot read; such rows go to quarantine."""
+    return rows.where(F.col(time).isNotNull()), rows.where(F.col(time).isNull())
+
+
 def _parallel_arrays(df: DataFrame, block: str, measures: Sequence[str]) -> DataFrame:
     """Struct of parallel arrays to rows; no block or no ``time`` gives no rows."""
     fields = T.StructType([T.StructField("time", T.ArrayType(T.StringType())), *_doubles(measures)])
@@ -59,7 +64,7 @@ def _parallel_arrays(df: DataFrame, block: str, measures: Sequence[str]) -> Data
     zipped = F.arrays_zip(F.col("__b.time").alias("time"), *[
         F.coalesce(F.col(f"__b.{c}"), none).alias(c) for c in measures])
     rows = body.where(F.col("__b.time").isNotNull()).select(*kept, F.explode(zipped).alias("__r"))
-    return rows.select(*kept, F.to_timestamp("__r.time").alias("time"),
+    return rows.select(*kept, F.try_to_timestamp("__r.time").alias("time"),
                        *[F.col(f"__r.{c}").alias(c) for c in measures])
 
 
@@ -86,7 +91,7 @@ def parse_param_map(df: DataFrame, parameters: Mapping[str, str] = config.SATELL
     hours = F.array_distinct(F.flatten(F.array(*[
         F.coalesce(F.map_keys(f"__p.{p}"), none) for p in parameters])))
     rows = body.select("*", F.explode(hours).alias("__h"))
-    return rows.select(*kept, F.to_timestamp("__h", "yyyyMMddHH").alias("time"), *[
+    return rows.select(*kept, F.try_to_timestamp("__h", F.lit("yyyyMMddHH")).alias("time"), *[
         sentinel_to_null(F.element_at(F.col(f"__p.{p}"), F.col("__h"))).alias(name)
         for p, name in parameters.items()])
 
@@ -113,11 +118,11 @@ def parse_hourly_structs(df: DataFrame, day: str = "day") -> DataFrame:
     hourly = F.explode(F.get(F.col("__data.weather"), F.lit(0))["hourly"])
     rows = usable.select(*kept, hourly.alias("__h"))
     hhmm = F.lpad("__h.time", 4, "0")
-    moment = F.to_timestamp(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "),
-                                     F.substring(hhmm, 1, 2), F.lit(":"), F.substring(hhmm, 3, 2)))
+    moment = F.try_to_timestamp(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "),
+                                         F.substring(hhmm, 1, 2), F.lit(":"), F.substring(hhmm, 3, 2)))
 
     def number(c: str) -> Column:
-        return F.coalesce(F.col(f"__h.{c}").cast("double"), F.lit(0.0))
+        return F.coalesce(F.col(f"__h.{c}").try_cast("double"), F.lit(0.0))
 
     return rows.select(*kept, moment.alias("time"), number("tempC").alias("temp"),
                        number("cloudcover").alias("cloud_cover"), number("precipMM").alias("rain"))

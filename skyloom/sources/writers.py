@@ -27,14 +27,29 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+#: Partition values up to which a merge prunes by a literal list; a batch that touches more reads the table by a join.
+MOST_TOUCHED = 10_000
+
+
+def _touched(table: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """The stored partitions that a batch touches."""
+    distinct = batch.select(partition).distinct()
+    values = [r[0] for r in distinct.limit(MOST_TOUCHED + 1).collect()]
+    if len(values) > MOST_TOUCHED:
+        same = F.col(f"t.{partition}").eqNullSafe(F.col(f"b.{partition}"))
+        return table.alias("t").join(distinct.alias("b"), same, "left_semi").select(*table.columns)
+    named = F.col(partition).isin([v for v in values if v is not None])
+    return table.where(named | F.col(partition).isNull() if None in values else named)
+
+
 def merge_into(batch: DataFrame, path: str, keys: Sequence[str], *, mode: str = "update_given",
                partition: str = "obs_date", partition_of: Column | None = None,
                order: str | None = None) -> int:
     """Merge a batch into a partitioned table; returns the rows offered.
 
-    Only the partitions the batch touches are read (pruned by the distinct partition values) and
-    rewritten. The merged rows are checkpointed before the overwrite, so nothing reads the files
-    it replaces. One writer per table. The partition value must follow from the key, so that a
+    Only the partitions the batch touches are read (the scan is filtered by their values) and
+    rewritten, each by as many tasks as its size asks for. The merged rows are checkpointed before the overwrite, so nothing
+    reads the files it replaces. One writer per table. The partition value must follow from the key, so that a
     key cannot move.
     """
     spark = batch.sparkSession
@@ -47,8 +62,7 @@ def merge_into(batch: DataFrame, path: str, keys: Sequence[str], *, mode: str =
     stored = batch.drop(*([order] if order else []))
     table = read_if_exists(spark, path)
     if table is not None:
-        touched = batch.select(partition).distinct()
-        table = table.join(touched, partition, "left_semi").select(*table.columns)
+        table = _touched(table, batch, partition)
         columns = [*table.columns, *[c for c in stored.columns if c not in table.columns]]
         for c in columns[len(table.columns):]:
             table = table.withColumn(c, F.lit(None).cast(stored.schema[c].dataType))
@@ -56,7 +70,7 @@ def merge_into(batch: DataFrame, path: str, keys: Sequence[str], *, mode: str =
         table = spark.createDataFrame([], stored.schema)
     keys = list(dict.fromkeys([*keys, partition]))
     merged = cut_lineage(MERGES[mode](table, batch, keys, order=order))
-    (merged.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
     return offered
 
@@ -87,8 +101,13 @@ def export_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
 
 def import_csv_upsert(spark: SparkSession, source: str, path: str, schema: str, keys: Sequence[str],
                       time: str = "time") -> int:
-    batch = spark.read.csv(source, header=True, schema=schema)
-    batch = batch.withColumn(time, F.to_timestamp(time))
+    """Merges the rows of CSV files; rows whose time cannot be read are appended to ``<path>_rejected`` as they were."""
+    rows = spark.read.csv(source, header=True, schema=schema)
+    read = rows.withColumn("__time", F.try_to_timestamp(time))
+    bad = read.where(F.col("__time").isNull()).drop("__time")
+    if not bad.isEmpty():
+        bad.write.mode("append").parquet(f"{path}_rejected")
+    batch = read.where(F.col("__time").isNotNull()).withColumn(time, F.col("__time")).drop("__time")
     return merge_into(batch, path, keys, mode="replace", partition_of=F.to_date(time))
 
 

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "skyloom-tests", "local[4]",
         **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
            "spark.driver.memory": "4g",
+           "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
