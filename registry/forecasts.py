@@ -281,7 +281,7 @@ def recursive_forecast(t: Tables):
     fitted = models.train_regressors(matrix, names, TARGETS, rounds=1)
     aligned = postprocess.provider_align(t.forecast("provider"), observations, HOURLY, TARGETS, 24)
     return plans.recursive_forecast(observations, aligned, HOURLY, fitted, measures=TARGETS, lags=SHORT_LAGS,
-                                    windows=SHORT_WINDOWS, steps=24, block=12)
+                                    windows=SHORT_WINDOWS, steps=24)
 
 
 @query()
@@ -289,7 +289,7 @@ def on_demand_cycle(t: Tables):
     observations = t.grid(TARGETS)
     runs = observations.select("site", F.col("time").alias("trained_at"))
     rows, _ = plans.cycle(observations, t.forecast("provider"), runs, HOURLY, ts("2024-02-05 00:00:00"), measures=TARGETS,
-                          lags=SHORT_LAGS, windows=SHORT_WINDOWS, steps=24, block=24, rounds=1)
+                          lags=SHORT_LAGS, windows=SHORT_WINDOWS, steps=24, rounds=1)
     return rows
 
 
