@@ -107,3 +107,14 @@ def stream_gap_alert(t: Tables):
     found = jobs.gap_alerts(stream(t, t.obs(MEASURE)), HOURLY)
     finished(jobs.write_appends(found, path, t.work("ckpt")))
     return jobs.read_batches(t.spark, path, found.schema).drop("batch_id")
+
+
+@query(sql("""SELECT lat, lon, time + INTERVAL 1 HOUR AS gap_start, following - INTERVAL 1 HOUR AS gap_end FROM (
+  SELECT lat, lon, time, lead(time) OVER (PARTITION BY lat, lon ORDER BY time) AS following FROM lobs)
+  WHERE following > time + INTERVAL 1 HOUR""", *base(sql_obs(MEASURE, ("lat", "lon"), "lobs")), doubles=["lat", "lon"]))
+def stream_gap_alert_by_place(t: Tables):
+    """Keys of two columns that are not whole numbers."""
+    path, series = t.work("alerts"), Series(keys=("lat", "lon"), step=3600)
+    found = jobs.gap_alerts(stream(t, t.obs(MEASURE, keys=("lat", "lon"))), series)
+    finished(jobs.write_appends(found, path, t.work("ckpt")))
+    return jobs.read_batches(t.spark, path, found.schema).drop("batch_id")

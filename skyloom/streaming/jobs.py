@@ -127,7 +127,8 @@ def gap_alerts(rows: DataFrame, series: Series) -> DataFrame:
 
     The state of a key is its newest time. A batch brings each key a bounded stretch of new rows.
     """
-    key, step = series.keys[0], series.step_us
+    names, step = list(series.keys), series.step_us
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in names)
 
     def find(keys: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         times = pd.concat([p["__at"] for p in parts]).drop_duplicates().sort_values()
@@ -138,13 +139,12 @@ def gap_alerts(rows: DataFrame, series: Series) -> DataFrame:
         ahead = times.shift(-1)
         open_ = (ahead - times) > step
         if open_.any():
-            yield pd.DataFrame({key: keys[0], "gap_start": (times[open_] + step).astype("int64"),
+            yield pd.DataFrame({**dict(zip(names, keys)), "gap_start": (times[open_] + step).astype("int64"),
                                 "gap_end": (ahead[open_] - step).astype("int64")})
 
     on_grid = F.pmod(series.at(), F.lit(step)) == 0
-    slim = rows.where(on_grid).select(key, series.at().alias("__at"))
-    found = slim.groupBy(key).applyInPandasWithState(
-        find, f"{key} bigint, gap_start bigint, gap_end bigint", "last bigint", "append",
-        GroupStateTimeout.NoTimeout)
-    return found.select(key, F.timestamp_micros("gap_start").alias("gap_start"),
+    slim = rows.where(on_grid).select(*names, series.at().alias("__at"))
+    found = slim.groupBy(*names).applyInPandasWithState(
+        find, f"{kinds}, gap_start bigint, gap_end bigint", "last bigint", "append", GroupStateTimeout.NoTimeout)
+    return found.select(*names, F.timestamp_micros("gap_start").alias("gap_start"),
                         F.timestamp_micros("gap_end").alias("gap_end"))
