@@ -117,22 +117,20 @@ def edited_fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     order = followers(rows.select("doc_id"))
     need = rows.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).alias("need"))
     order = saved(order.join(need, order["doc_id"].eqNullSafe(need["doc_id"])).select(order["doc_id"], "next_id", "need"), "followers")
-    prints = rows.select("*", fingerprint(F.col("text"), k).alias("fingerprint"))
+    prints = rows.select("*", F.unhex(fingerprint(F.col("text"), k)).alias("print"))
 
     heads = (prints.alias("r").join(order.alias("o"), F.col("r.doc_id").eqNullSafe(F.col("o.next_id")))
              .select(F.col("o.doc_id").alias("owner"), F.struct(
                  F.substring(F.col("r.text"), F.lit(1), F.col("o.need").cast("int")).alias("head"),
-                 F.col("r.fingerprint").alias("next_print")).alias("head")))
+                 F.col("r.print").alias("print")).alias("head")))
     heads = heads.groupBy("owner").agg(F.min("head").alias("head"))
     half = F.floor(F.length("text") / 2).cast("int")
     own = prints.join(heads, F.col("doc_id").eqNullSafe(F.col("owner")))
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half),
                       F.substring(F.col("head.head"), F.lit(1), half))
-    out = own.select("doc_id", F.length("text").cast("long").alias("n_chars"), "fingerprint",
-                     F.col("head.next_print").alias("next_print"), edited.alias("edited"))
-    out = out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
-                     fingerprint(F.col("edited"), k).alias("edited_fingerprint"), "next_print")
-    return saved(out, "prints").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"))
+    shown = lambda c: F.lower(F.hex(c))
+    end = _let(F.struct(shown("print").alias("own"), fingerprint(edited, k).alias("edited"), shown("head.print").alias("next")),
+               lambda x: F.struct(x["own"].alias("fingerprint"), x["edited"].alias("edited_fingerprint"),
+                                  likeness(x["own"], x["edited"]).alias("near_edited"), likeness(x["own"], x["next"]).alias("near_next")))
+    return own.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
+                      F.explode(F.array(end)).alias("end")).select("doc_id", "n_chars", "edited_sha256", "end.*")
