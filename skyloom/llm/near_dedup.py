@@ -5,9 +5,12 @@ in fewer than 2 * ``chunks`` symbols agree, up to one symbol, in at least one of
 chunk is indexed ``width`` times, each time with another of its symbols left out: every pair under the distance meets in
 at least one bucket. Candidates are confirmed on the full shingle sets.
 
-Equal sets are one node. In the first round the nodes of a bucket are compared with its smallest node only. The links
-found make components, and the second round compares what is left: nodes of one bucket in different components. Very
-frequent bucket keys are found by a Misra-Gries summary and settled without a shuffle.
+Equal sets are one node. In the first round the nodes of a bucket are compared with one of them only, drawn by a hash of
+key and node, so the buckets a group shares have different leads. The links found make components, and the second round
+compares what is left: nodes that share a bucket across components. Near misses of a large group can be many there, so
+its pairs must also share one of the rare shingles that a linked pair cannot lack: with each set in order of frequency,
+two sets of n and m shingles that need k in common share one of the first n - k + 1 and m - k + 1. Very frequent bucket keys are
+found by a Misra-Gries summary and settled without a shuffle.
 """
 
 from __future__ import annotations
@@ -131,16 +134,17 @@ class NearDuplicates:
         return nodes.select("node", "signature").mapInArrow(index, "key bigint, node bigint")
 
     def buckets(self, nodes: DataFrame) -> DataFrame:
-        """(key, node, lead) of the buckets with more than one node; ``lead`` is the smallest."""
+        """(key, node, lead) of the buckets with more than one node."""
         keys = self.keys(nodes)
+        draw = F.struct(F.xxhash64("key", "node").alias("draw"), "node")
         often = keys.freqItems(["key"], SUPPORT).select(F.explode("key_freqItems").alias("key")).distinct()
-        often = saved(keys.join(F.broadcast(often), "key").groupBy("key").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n"))
+        often = saved(keys.join(F.broadcast(often), "key").groupBy("key").agg(F.min(draw)["node"].alias("lead"), F.count(F.lit(1)).alias("n"))
                       .where("n > 1000"), "near-often")
         hot = keys.join(F.broadcast(often.select("key", "lead")), "key").select("key", "node", "lead")
         rest = keys.join(F.broadcast(often.select("key")), "key", "left_anti")
         group = Window.partitionBy("key")
-        rest = (rest.select("key", "node", F.min("node").over(group).alias("lead"), F.max("node").over(group).alias("top"))
-                .where("lead < top").select("key", "node", "lead"))
+        rest = (rest.select("key", "node", F.min(draw).over(group)["node"].alias("lead"), F.count(F.lit(1)).over(group).alias("n"))
+                .where("n > 1").select("key", "node", "lead"))
         return saved(hot.unionByName(rest), "near-buckets")
 
     def close(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -186,30 +190,46 @@ class NearDuplicates:
         out = texts.mapInArrow(build, "node bigint, shingles array<bigint>")
         return saved(out.dropDuplicates(["node"]) if self.repeats else out, "near-full")
 
-    def links(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    def links(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
         """The pairs confirmed on their full sets."""
-        pairs = saved(pairs, "near-pairs")
-        wanted = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node").select(
-            "node", "doc_id", "digest")
-        full = self.full_sets(saved(wanted, "near-wanted"))
         side = lambda x: full.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}"))
         shared = F.size(F.array_intersect("s_a", "s_b"))
         union = F.size("s_a") + F.size("s_b") - shared
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * shared >= self.percent * union).select(
-            F.col("a").alias("u"), F.col("b").alias("v"))
+        return saved(pairs.join(side("a"), "a").join(side("b"), "b").where(100 * shared >= self.percent * union).select(
+            F.col("a").alias("u"), F.col("b").alias("v")), "near-links")
 
-    def rest(self, buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Pairs of a bucket that the first round left open: both not its lead, in different components."""
+    def wanted(self, nodes: DataFrame, some: DataFrame) -> DataFrame:
+        return self.full_sets(saved(nodes.join(some.distinct(), "node").select("node", "doc_id", "digest"), "near-wanted"))
+
+    def first_round(self, buckets: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Links between nodes and the leads of their buckets."""
+        star = buckets.where("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+        pairs = saved(self.close(star, nodes), "near-pairs")
+        return self.links(pairs, self.wanted(nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
+
+    def second_round(self, buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Links the first round left open: between nodes that share a bucket with another component."""
         labelled = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                                 F.count(F.lit(1)).alias("n")).where("low < high and n > 2").select("key")
-        inside = saved(labelled.where("node <> lead").join(open_keys, "key").join(nodes.select("node", "n_shingles"), "node")
-                       .select("key", "node", "component", "n_shingles"), "near-open")
-        a, b = inside.alias("a"), inside.alias("b")
-        meet = ((F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
+        inside = saved(labelled.join(open_keys, "key").select("node", "component").distinct(), "near-open")
+        full = self.wanted(nodes, inside.select("node"))
+        terms = full.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+        often = terms.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+        # a shingle of one node only is rarest: it leads the order but meets nothing
+        place = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
+        alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+        ranked = terms.join(often, "shingle").withColumn("place", (place + alone).cast("int"))
+        least = F.ceil(F.col("n") * self.percent / 100)
+        heads = saved(ranked.where(F.col("place") <= F.col("n") - least + 1).join(inside, "node")
+                      .select("node", "component", "n", "shingle", "place"), "near-heads")
+        a, b = heads.alias("a"), heads.alias("b")
+        need = F.ceil((F.col("a.n") + F.col("b.n")) * self.percent / (100 + self.percent))
+        meet = ((F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node"))
                 & (F.col("a.component") != F.col("b.component"))
-                & (F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * self.percent))
-        return a.join(b, meet).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+                & (F.col("a.place") <= F.col("a.n") - need + 1) & (F.col("b.place") <= F.col("b.n") - need + 1))
+        pairs = a.join(b, meet).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+        return self.links(saved(self.close(pairs, nodes), "near-pairs"), full)
 
     def run(self) -> DataFrame:
         sets = self.sets()
@@ -219,11 +239,10 @@ class NearDuplicates:
         first = saved(named.groupBy("digest").agg(F.min("row").alias("node")), "near-classes")
         nodes = saved(sets.join(first.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node"), "near-nodes")
         buckets = self.buckets(nodes)
-        star = buckets.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-        links = saved(self.links(self.close(star, nodes), nodes), "near-links")
+        links = self.first_round(buckets, nodes)
         labels = saved(connected_components(links), "near-labels")
-        more = self.links(self.close(self.rest(buckets, labels, nodes), nodes), nodes)
-        labels = saved(connected_components(links.unionByName(saved(more, "near-links"))), "near-labels")
+        more = self.second_round(buckets, labels, nodes)
+        labels = saved(connected_components(links.unionByName(more)), "near-labels")
 
         classes = first.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
         rows = sets.join(classes, "digest", "left").withColumn("component", F.coalesce("component", -1 - F.col("row")))
