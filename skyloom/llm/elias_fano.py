@@ -137,11 +137,18 @@ class Trie:
                 if n:
                     setattr(owner, name, np.memmap(file, kind, "r", at, (n,)))
 
-    def score(self, word: np.ndarray, child: np.ndarray) -> np.ndarray:
-        """Value of each (number of a word on level 1, context), the unseen value of the word where it has no such child."""
+    def codes(self, word: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each (number of a word on level 1, context) the code of its value and True, or the code of the word's unseen
+        value and False where it has no such child."""
         first = self.pointers.values().astype(np.int64)
-        out = self.unseen[word]
+        out, seen = self.unseen.codes[word], np.zeros(len(word), bool)
         some = np.flatnonzero((first[word + 1] > first[word]) & (child >= 0))
         at = self.children.find(word[some].astype(np.uint64) * self.width + child[some].astype(np.uint64))
-        out[some[at >= 0]] = self.value[at[at >= 0]]
-        return out
+        out[some[at >= 0]] = self.value.codes[at[at >= 0]]
+        seen[some[at >= 0]] = True
+        return out, seen
+
+    def score(self, word: np.ndarray, child: np.ndarray) -> np.ndarray:
+        """Value of each (number of a word on level 1, context), the unseen value of the word where it has no such child."""
+        codes, seen = self.codes(word, child)
+        return np.where(seen, self.value.least + self.value.step * codes, self.unseen.least + self.unseen.step * codes)

@@ -16,6 +16,7 @@ from skyloom.llm.components import connected_components
 from skyloom.llm.elias_fano import EliasFano, Trie
 from skyloom.llm.encoding import PieceEncoder
 from skyloom.llm.language import Parser, identify_language, keep_identified
+from skyloom.llm import lm_scoring
 from skyloom.llm.lm_scoring import score_documents
 from skyloom.llm.near_dedup import drop_near_duplicates, near_duplicates
 from skyloom.llm.packing import pack_documents, sum_of_squares
@@ -278,6 +279,18 @@ def test_scores(spark, rows):
         assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=2e-4, abs_tol=1e-3)
 
 
+def test_repeated_pairs_are_asked_once_per_batch(spark, monkeypatch):
+    rows = [(i, "of the " * 2000 + f"w{i} of the", None, None) for i in range(60)]
+    batches = lm_scoring.encode_batches(frame(spark, rows).coalesce(1).select("doc_id", "text", F.expr("true").alias("t")), "doc_id % 2 = 0", "bigint")
+    asked = lm_scoring.to_shards(batches, np.zeros(0, np.uint64), 1).collect()
+    questions = sum(len(lm_scoring._unpack(r["c"])) for r in asked)
+    assert len(asked) == 1 and questions == 4 + 2 * 60 == lm_scoring.totals(batches)[3]
+    want = score_documents(frame(spark, rows), TRAIN).orderBy("doc_id").collect()
+    monkeypatch.setattr(lm_scoring, "SHARD", 20)  # words are split, and a batch meets many shards
+    for a, b in zip(want, score_documents(frame(spark, rows), TRAIN).orderBy("doc_id").collect(), strict=True):
+        assert a[:6] == b[:6] and math.isclose(a["score"], b["score"], rel_tol=2e-4)
+
+
 def test_scores_without_training(spark, none):
     rows = score_documents(frame(spark, real(30)), "false").collect()
     assert len(rows) == 30 and all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in rows)
