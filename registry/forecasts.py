@@ -5,6 +5,12 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+from pyspark.ml import PipelineModel
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,16 +226,28 @@ def forecast_gap_ranges(t: Tables):
 
 # ---- model jobs (no SQL twin) --------------------------------------------
 
-SHORT_LAGS, SHORT_WINDOWS = (1, 2, 24), (6,)
 _HT = list(config.HOURLY_TARGETS)
 _DIRECT = feats.hourly_columns(horizon=True)
 _BASE = feats.hourly_columns()
 ROUNDS, RATE = 4, 0.3  # of the registered fits, which only have to be better than no model
 
 
-def _filled(t: Tables):
-    """Complete hourly grid of the targets without missing values."""
-    return cut_lineage(t.grid(TARGETS).dropna(how="any", subset=TARGETS))
+def _observed(t: Tables):
+    """All measures of both providers."""
+    return t.obs().join(t.obs2(), ["site", "time"], "full")
+
+
+def _fixed(t: Tables, names: list[str], targets: list[str]) -> dict[str, PipelineModel]:
+    """Linear models of given coefficients that read every feature, mostly the last value of their target. The recursion
+    takes fitted models as input; fitting is part of the cycle and has queries of its own."""
+    assembler, out = VectorAssembler(inputCols=names, outputCol="__x"), {}
+    for c in targets:
+        weights = np.full(len(names), 0.1 / len(names))
+        weights[names.index(f"{c}_lag_1")] = 0.9
+        java = t.spark._jvm.org.apache.spark.ml.regression.LinearRegressionModel(
+            f"fixed_{c}", _py2java(t.spark.sparkContext, Vectors.dense(weights)), 0.0)
+        out[c] = PipelineModel([assembler, LinearRegressionModel(java).setFeaturesCol("__x").setPredictionCol(f"pred_{c}")])
+    return out
 
 
 def _parts(t: Tables):
@@ -268,28 +286,24 @@ def direct_forecast(t: Tables):
     observations = cut_lineage(t.grid(_HT).dropna(how="any", subset=_HT))
     past = observations.where(F.col("time") <= ts("2024-01-20 00:00:00"))
     rows = cut_lineage(feats.direct_matrix(past, FULL))
-    fitted = models.train_regressors(rows, _DIRECT, _HT, rounds=1, rate=RATE)
+    fitted = models.train_regressors(rows, _DIRECT, _HT)
     return plans.direct_forecast(observations, FULL, fitted, since=ts("2024-01-20 00:00:00"))
 
 
 @query()
 def recursive_forecast(t: Tables):
-    observations = _filled(t)
-    matrix = cut_lineage(feats.feature_matrix(observations, FULL, measures=TARGETS, targets=TARGETS, lags=SHORT_LAGS,
-                                              windows=SHORT_WINDOWS, imputed=True))
-    names = feats.matrix_columns(TARGETS, SHORT_LAGS, SHORT_WINDOWS)
-    fitted = models.train_regressors(matrix, names, TARGETS, rounds=1)
-    aligned = postprocess.provider_align(t.forecast("provider"), observations, HOURLY, TARGETS, 24)
-    return plans.recursive_forecast(observations, aligned, HOURLY, fitted, measures=TARGETS, lags=SHORT_LAGS,
-                                    windows=SHORT_WINDOWS, steps=24)
+    history = cut_lineage(feats.imputed_grid(_observed(t), HOURLY))
+    models_ = _fixed(t, feats.matrix_columns(), TARGETS)
+    aligned = cut_lineage(postprocess.provider_align(t.forecast("provider", config.PROVIDER_MEASURES), history, HOURLY, config.MEASURES))
+    return plans.recursive_forecast(history, aligned, HOURLY, models_, measures=config.MEASURES)
 
 
 @query()
 def on_demand_cycle(t: Tables):
-    observations = t.grid(TARGETS)
+    observations = grids.complete_grid(_observed(t), HOURLY, list(config.MEASURES))
     runs = observations.select("site", F.col("time").alias("trained_at"))
-    rows, _ = plans.cycle(observations, t.forecast("provider"), runs, HOURLY, ts("2024-02-05 00:00:00"), measures=TARGETS,
-                          lags=SHORT_LAGS, windows=SHORT_WINDOWS, steps=24, rounds=1)
+    rows, _ = plans.cycle(observations, t.forecast("provider", config.PROVIDER_MEASURES), runs, HOURLY, ts("2024-02-05 00:00:00"),
+                          measures=config.MEASURES)
     return rows
 
 
