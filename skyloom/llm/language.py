@@ -31,16 +31,20 @@ def fold_letters(text: str) -> str:
 
 def training_sample(docs: DataFrame, train: Column, *, doc_id: str, text: str, lang: str, per_language: int,
                     letters: int) -> dict[str, str]:
-    """Folded text per language: the ``per_language`` labelled rows of least hash, at most ``letters`` in all, an equal
-    share of each row. The bound holds whatever the table's size; Spark keeps the first rows per task before it moves any."""
-    share = max(1, letters // per_language)
+    """Folded text per language: the ``per_language`` distinct labelled texts of least hash, at most ``letters`` in all, an
+    equal share of each text picked. The bound holds whatever the table's size; only hashes are shuffled to pick."""
     rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(doc_id).cast("string"), F.lit(5)).alias("order"),
-        F.substring(F.col(text), 1, 2 * share).alias("text"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
+        F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(text), F.lit(5)).alias("order"), F.col(text).alias("text"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    picked = rows.select("lang", "order").distinct().withColumn("n", first).where(F.col("n") <= per_language)
+    picked = picked.withColumn("share", F.greatest(F.lit(1), F.lit(letters) / F.count("n").over(Window.partitionBy("lang"))).cast("int"))
+    folded = F.ltrim(F.regexp_replace("text", r"\P{L}+", " "))
+    cut = rows.join(F.broadcast(picked), ["lang", "order"]).select("lang", "n", "share", folded.alias("text")).select(
+        "lang", "n", "share", F.expr("substring(text, 1, share)").alias("text"))
+    cut = cut.groupBy("lang", "n", "share").agg(F.min("text").alias("text"))
     out: dict[str, list[str]] = {}
-    for row in rows.withColumn("n", first).where(F.col("n") <= per_language).orderBy("lang", "n").toLocalIterator():
-        out.setdefault(row["lang"], []).append(fold_letters(row["text"])[:share])
+    for row in cut.orderBy("lang", "n").toLocalIterator():
+        out.setdefault(row["lang"], []).append(fold_letters(row["text"])[:row["share"]])
     return {k: " ".join(v) for k, v in sorted(out.items()) if any(v)}
 
 

@@ -15,7 +15,7 @@ from skyloom.llm.common import fold
 from skyloom.llm.components import connected_components
 from skyloom.llm.elias_fano import EliasFano, Trie
 from skyloom.llm.encoding import PieceEncoder
-from skyloom.llm.language import Parser, identify_language, keep_identified
+from skyloom.llm.language import Parser, identify_language, keep_identified, training_sample
 from skyloom.llm import lm_scoring
 from skyloom.llm.lm_scoring import score_documents
 from skyloom.llm.near_dedup import drop_near_duplicates, near_duplicates
@@ -72,6 +72,12 @@ def test_language(spark, docs, none):
     assert identify_language(none, train).count() == 0
 
 
+def test_few_labelled_texts_share_all_letters(spark):
+    rows = [(i, "1 " * 1000 + f"{'abc' * 400}{x} ", "few", None) for i, x in enumerate("pqrppp")] + [(9, "0" * 3000 + " Ab", "late", None)]
+    got = training_sample(frame(spark, rows), F.lit(True), doc_id="doc_id", text="text", lang="lang", per_language=64, letters=3000)
+    assert sorted(map(len, got["few"].split())) == [1000] * 3 and got["late"] == "ab"  # copies count once
+
+
 def test_segment_tree():
     rng = np.random.default_rng(2)
     for n in (1, 2, 3, 8, 13):
