@@ -130,8 +130,8 @@ def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op13_hard_negatives"] = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                  list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e
-           FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, a.label AS own, x.vec_id, x.label, list_inner_product(a.e, x.e)::BIGINT AS score
       FROM v a JOIN v x ON a.vec_id <> x.vec_id WHERE a.vec_id % 50 = 0),
 p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
