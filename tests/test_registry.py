@@ -14,7 +14,7 @@ QUICK = [
     "time_grid", "ensure_full_grid_in_range", "gap_ranges", "recovery_plan", "clean_series", "backfill_merge",
     "rolling_mean_past", "ema_with_gaps", "incremental_features", "merge_sources_coalesce", "quality_report",
     "merge_into_table", "latest_ml_long", "provider_align", "rate_limit", "parse_list_forecast", "read_series_csv",
-    "stream_upsert", "stream_gap_alert",
+    "stream_upsert", "stream_gap_alert", "recursive_forecast", "on_demand_cycle", "direct_forecast",
 ]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("SKYLOOM_ALL") else QUICK
 
