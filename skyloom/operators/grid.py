@@ -16,6 +16,7 @@ from skyloom.operators.series import (
     with_neighbours,
     with_position,
 )
+from skyloom.session import cut_lineage
 
 GRID_PIECE = 4096
 
@@ -135,7 +136,8 @@ def complete_grid(df: DataFrame, series: Series, columns: Sequence[str], *,
 
     No grid is joined: each observed row already knows the next one, so it is expanded to the
     missing steps behind it and every value is computed from the two neighbours it carries. The
-    shuffle volume is that of the observed rows, not of the grid. ``fill='hold'`` fills forward,
+    shuffle volume is that of the observed rows, not of the grid. A mark at the start of every piece
+    of time cuts long holes, so a task unfolds one piece at a time. ``fill='hold'`` fills forward,
     then backward; ``fill='none'`` leaves new rows NULL; ``causal`` only looks back. Rows off the grid do not contribute; with
     ``aligned=False`` they still stretch the grid to the step they fall into. ``start`` and
     ``end`` are literals; rows outside them are cropped first.
@@ -154,45 +156,62 @@ def complete_grid(df: DataFrame, series: Series, columns: Sequence[str], *,
         rows = rows.groupBy(*keys, bucket.alias("__bucket")).agg(
             *[F.max(F.when(exact, F.col(c))).alias(c) for c in columns]
         ).withColumnRenamed("__bucket", series.time)
-    rows = rows.withColumn("__row", F.lit(1))
     carried = [] if fill == "none" else list(columns)
-    near = with_neighbours(rows, series, ["__row", *carried], strict=True,
-                           strict_back=["__row"])
+    marked = rows.withColumn("__row", F.lit(1)).unionByName(
+        _piece_marks(rows, series, start, end), allowMissingColumns=True)
+    # A mark comes before a row of the same time, so that it sees the row ahead of it and unfolds nothing.
+    marked = marked.withColumn("__mark", F.when(F.col("__row").isNull(), 0).otherwise(1))
+    near = with_neighbours(marked, series, ["__row", *carried], strict=True,
+                           strict_back=["__row"], tie=["__mark"])
 
     at, step = series.at(), F.lit(series.step_us)
-    first = floor_time(start, series.step) if start is not None else None
     last = floor_time(end, series.step) if end is not None else None
     behind = F.when(F.col("__nt___row").isNotNull(), (F.col("__nt___row") - at) / step - 1)
     tail = F.lit(0) if last is None else (F.unix_micros(last) - at) / step
-    high = F.coalesce(behind, tail).cast("bigint")
-    if first is None:
-        low = F.lit(0).cast("bigint")
-    else:
-        # Only the first row of a series reaches back to the start of the range.
-        is_first = F.col("__pt___row").isNull()
-        low = F.when(is_first, (F.unix_micros(first) - at) / step).otherwise(F.lit(0)).cast("bigint")
+    # A stretch ends with its piece; the mark of the next piece goes on from there.
+    rest = (_piece_start(series, series.chunk_of(at) + 1) - at) / step - 1
+    high = F.least(F.coalesce(behind, tail), rest).cast("bigint")
+    high = F.when(F.col("__mark") == 1, F.greatest(high, F.lit(0))).otherwise(high)
     # What a row holds for its stretch is settled before it unfolds; only interpolation also
     # needs both neighbours at every step. The value of the row itself is its own neighbour.
     held = {c: (F.col(c) if fill == "none" else F.col(f"__pv_{c}") if causal
                 else F.coalesce(f"__pv_{c}", f"__nv_{c}")).alias(f"__h_{c}") for c in columns}
     linear = fill == "interpolate" and not causal
     ends = [f"__{x}_{c}" for c in columns for x in ("pv", "nv", "pt", "nt")] if linear else []
-    grown = near.select(*keys, series.time, *held.values(), *ends,
-                        F.explode(F.sequence(low, F.greatest(low, high))).alias("__i"))
+    grown = near.where(high >= 0).select(*keys, series.time, *held.values(), *ends,
+                                         F.explode(F.sequence(F.lit(0).cast("bigint"), high)).alias("__i"))
     moment = at + F.col("__i") * step
     out = [F.col(k) for k in keys] + [F.timestamp_micros(moment).alias(series.time)]
     for c in columns:
         value = F.col(f"__h_{c}")
         if fill == "none":
             value = F.when(F.col("__i") == 0, value)
-        elif causal:
-            value = F.when(F.col("__i") >= 0, value)
         elif linear:
-            value = F.coalesce(F.when(F.col("__i") >= 0, _between(c, moment)), value)
+            value = F.coalesce(_between(c, moment), value)
         out.append(value.alias(c))
     return grown.select(*out)
 
 
+def _piece_start(series: Series, piece: Column) -> Column:
+    """The first grid point of a piece of time, in microseconds."""
+    begin = (piece * F.lit(series.chunk * MICROS)).cast("bigint")
+    return begin + F.pmod(-begin, F.lit(series.step_us))
+
+
+def _piece_marks(rows: DataFrame, series: Series, start: Column | None, end: Column | None) -> DataFrame:
+    """A row (keys, time) at the first grid point of every piece that a series covers.
+
+    With them a hole is unfolded piece by piece, wherever the pieces are dealt to, and no row unfolds more than a piece.
+    """
+    first = floor_time(start, series.step) if start is not None else F.min(series.time)
+    last = floor_time(end, series.step) if end is not None else F.max(series.time)
+    spans = rows.groupBy(*series.keys).agg(F.unix_micros(first).alias("__from"), F.unix_micros(last).alias("__to"))
+    from_, to = series.chunk_of(F.col("__from")).cast("bigint"), series.chunk_of(F.col("__to")).cast("bigint")
+    pieces = spans.withColumn("__piece", F.explode(F.sequence(from_, F.greatest(from_, to))))
+    at = F.greatest(F.col("__from"), _piece_start(series, F.col("__piece")))
+    return pieces.where(at <= F.col("__to")).select(*series.keys, F.timestamp_micros(at).alias(series.time))
+
+
 def upsample(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame:
     """Coarser rows to the grid: off-grid values are dropped, the rest is interpolated."""
     return complete_grid(df, series, columns, aligned=False)
@@ -200,9 +219,12 @@ def upsample(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame
 
 def clean_series(df: DataFrame, series: Series, columns: Sequence[str], arrival: str,
                  hold: int = 6, reach: int = 12) -> DataFrame:
-    """Keep the first arrival per time, hold values for ``hold`` rows, then row-linear fill."""
-    one = dedupe(df, [*series.keys, series.time], arrival, keep="first").drop(arrival)
-    held = ffill_limit(one, series, columns, hold)
+    """Keep the first arrival per time, hold values for ``hold`` rows, then row-linear fill.
+
+    Both fills read their input several times; it is stored, so the source is scanned once.
+    """
+    one = cut_lineage(dedupe(df, [*series.keys, series.time], arrival, keep="first").drop(arrival))
+    held = cut_lineage(ffill_limit(one, series, columns, hold))
     return interpolate_limit(held, series, columns, reach, by="row")
 
 

@@ -41,14 +41,18 @@ def append_newer(base: DataFrame, live: DataFrame, time: str, keys: Sequence[str
 def merge_history(primary: DataFrame, secondary: DataFrame, live: DataFrame, series: Series,
                   columns: Sequence[str] = config.STATION_TARGETS, limit: int = 8,
                   bounds=config.STATION_BOUNDS) -> DataFrame:
-    """One clean grid series per key from two archives and a live feed."""
+    """One clean grid series per key from two archives and a live feed.
+
+    Every stage reads its input several times, so the stages are stored in between: each source is scanned once, and
+    a lost executor repeats one stage only.
+    """
     on = [*series.keys, series.time]
-    merged = merge_coalesce(primary, secondary, on, columns)
-    merged = append_newer(merged, live.select(*on, *columns), series.time, series.keys)
-    gridded = resample_mean(merged, series, columns)
+    merged = cut_lineage(merge_coalesce(primary, secondary, on, columns))
+    merged = cut_lineage(append_newer(merged, live.select(*on, *columns), series.time, series.keys))
+    gridded = cut_lineage(resample_mean(merged, series, columns))
     filled = interpolate_limit(gridded, series.on_complete_grid(), columns, limit)
-    clipped = filled.select(*on, *[
-        clip(c, *bounds[c]).alias(c) if c in bounds else F.col(c) for c in columns])
+    clipped = cut_lineage(filled.select(*on, *[
+        clip(c, *bounds[c]).alias(c) if c in bounds else F.col(c) for c in columns]))
     return median_fill(clipped, columns, series.keys)
 
 

@@ -98,7 +98,8 @@ def with_neighbours(df: DataFrame, series: Series, columns: Sequence[str], *,
                 helpers.append(name)
     ends = pieces.groupBy(*keys, CHUNK).agg(*[F.expr(e) for e in summary])
     ends = ends.selectExpr(*[f"`{k}`" for k in keys], CHUNK, *carried)
-    return pieces.join(ends, [*keys, CHUNK]).selectExpr("*", *added).drop(*helpers)
+    # A broadcast would leave the rows dealt by key alone, all pieces of a long series in one task.
+    return pieces.join(ends.hint("merge"), [*keys, CHUNK]).selectExpr("*", *added).drop(*helpers)
 
 
 def with_position(df: DataFrame, series: Series, name: str = "__pos",
