@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions.scalar import floor_time, shift_time
 from skyloom.operators.grid import complete_grid
 from skyloom.operators.series import Series
+from skyloom.session import cut_lineage
 
 
 def bucket_mean(df: DataFrame, series: Series, columns: Sequence[str],
@@ -58,37 +62,61 @@ def has_rows(df: DataFrame, locations: DataFrame, keys: Sequence[str]) -> DataFr
 
 # ---- exact quantiles -----------------------------------------------------
 
+#: Distinct values that one task orders, and the rounds of splitting, far more than 1024 buckets each ever need.
+BUCKET_ROWS = 1_000_000
+ROUNDS = 8
+
+
+def ordered_values(rows: DataFrame) -> DataFrame:
+    """Adds ``__upto``, the number of values up to and with a row, in buckets that are small by now."""
+    ranked = Window.partitionBy(*[c for c in rows.columns if c not in ("__value", "__n", "__before", "__in", "__total")]).orderBy("__value")
+    inside = F.sum("__n").over(ranked.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("__upto", F.col("__before") + inside)
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    keys: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+                    keys: Sequence[str] = (), buckets: int = 1024, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Exact linear-interpolated quantiles per key and column: (keys, column, q_0, q_1, ...).
 
-    Equal values collapse to counts before the shuffle. Distinct values fall into ``buckets``
-    equal-width buckets per key; bucket totals locate the wanted ranks, and only the buckets that
-    hold one are ordered. No task sees all values of a key. NULLs are ignored.
+    Rank selection: equal values collapse to counts before the shuffle. Splitters from a quantile sketch cut the values into
+    buckets of about equal counts, whatever their distances; bucket totals locate the wanted ranks, and only buckets that
+    hold one go on. A bucket that still has more than ``bucket_rows`` distinct values is cut again by splitters of its own.
+    Only small buckets are ordered. NULLs are ignored.
     """
     ids = [*keys, "__column"]
     long = df.select(*keys, *columns).unpivot(list(keys), list(columns), "__column", "__value")
     counts = (long.where(F.col("__value").isNotNull()).groupBy(*ids, "__value")
               .agg(F.count(F.lit(1)).alias("__n")))
-    spread = counts.groupBy(*ids).agg(F.min("__value").alias("__lo"), F.max("__value").alias("__hi"),
-                                      F.sum("__n").alias("__total"))
-    share = F.try_divide(F.col("__value") - F.col("__lo"), F.col("__hi") - F.col("__lo"))
-    bucketed = counts.join(spread, ids).withColumn(
-        "__bucket", F.coalesce(F.floor(share * buckets), F.lit(0)))
-    totals = bucketed.groupBy(*ids, "__bucket", "__total").agg(F.sum("__n").alias("__in"))
-    before = Window.partitionBy(*ids).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("__before", F.coalesce(F.sum("__in").over(before), F.lit(0)))
-
+    open_ = cut_lineage(counts.withColumns({"__round": F.lit(0), "__bucket": F.lit(0).cast("bigint"), "__before": F.lit(0).cast("bigint")}))
+    totals = open_.groupBy(*ids).agg(F.sum("__n").alias("__total"))
     spots = [(F.col("__total") - 1) * F.lit(float(p)) for p in probabilities]
-    wanted = F.lit(False)
-    for spot in spots:
-        wanted = wanted | ((F.floor(spot) < F.col("__before") + F.col("__in"))
-                           & (F.ceil(spot) >= F.col("__before")))
-    hit = totals.where(wanted).select(*ids, "__bucket", "__before")
-    ranked = Window.partitionBy(*ids, "__bucket").orderBy("__value").rowsBetween(
-        Window.unboundedPreceding, 0)
-    inside = bucketed.join(hit, [*ids, "__bucket"]).withColumn(
-        "__upto", F.col("__before") + F.sum("__n").over(ranked))
+    parts, group = [], [*ids, "__round", "__bucket", "__before"]
+    fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    for round_ in range(1, ROUNDS + 1):
+        sizes = open_.groupBy(*group).agg(F.count(F.lit(1)).alias("__distinct"))
+        large = cut_lineage(sizes.where(F.col("__distinct") > bucket_rows))
+        if large.isEmpty():
+            break
+        parts.append(open_.join(large.select(*group), group, "left_anti"))
+        cut = open_.join(large.select(*group), group)
+        # A sketch of the distinct values: its size is bounded, and its error only moves the borders.
+        borders = cut.groupBy(*group).agg(F.array_distinct(F.percentile_approx("__value", fractions, F.lit(4 * buckets))).alias("__borders"))
+        cut = cut.join(borders, group)
+        slot = F.size("__borders") - F.size(F.filter("__borders", lambda b: b >= F.col("__value")))
+        cut = cut.withColumn("__slot", slot.cast("bigint")).drop("__borders")
+        inside = cut.groupBy(*group, "__slot").agg(F.sum("__n").alias("__in"))
+        earlier = Window.partitionBy(*group).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+        inside = inside.withColumn("__first", F.col("__before") + F.coalesce(F.sum("__in").over(earlier), F.lit(0))).join(totals, ids)
+        wanted = F.lit(False)
+        for spot in spots:
+            wanted = wanted | ((F.floor(spot) < F.col("__first") + F.col("__in")) & (F.ceil(spot) >= F.col("__first")))
+        hit = inside.where(wanted).select(*group, "__slot", "__first")
+        kept = cut.join(hit, [*group, "__slot"])
+        open_ = cut_lineage(kept.select(
+            *ids, "__value", "__n", F.lit(round_).alias("__round"), (F.col("__bucket") * buckets + F.col("__slot")).alias("__bucket"),
+            F.col("__first").alias("__before")))
+    parts.append(open_)
+    inside = ordered_values(reduce(DataFrame.unionByName, parts)).join(totals, ids)
     below = F.col("__upto") - F.col("__n")
 
     def at(rank: Column) -> Column:
@@ -163,23 +191,54 @@ def quality_report(df: DataFrame, time: str, expected: Sequence[str],
         F.lit(missing).alias("missing_columns"))
 
 
-def correlations(df: DataFrame, features: Sequence[str], targets: Sequence[str],
-                 limit: float = 0.99, batch: int = 200) -> DataFrame:
-    """Pearson r of every feature with every target over rows where both are present.
+def correlations(df: DataFrame, features: Sequence[str], targets: Sequence[str], limit: float = 0.99) -> DataFrame:
+    """(target, feature, r, suspicious): Pearson r of every feature with every target over rows where both are present.
 
-    Pairs are computed ``batch`` at a time so that one aggregation stays a sane size.
+    One scan: a task keeps the co-moments of all pairs for its rows as matrices, and the matrices of all tasks are merged
+    pair by pair (Chan's update), so neither the plan nor the scan grows with the number of pairs. r is NULL
+    with fewer than two rows or a constant side. NaN counts as missing.
     """
-    pairs = [(f, t) for t in targets for f in features]
-    out = None
-    for i in range(0, len(pairs), batch):
-        part = pairs[i:i + batch]
-        one = df.agg(*[F.corr(f, t).alias(f"{t}\t{f}") for f, t in part])
-        cells = F.explode(F.array(*[
-            F.struct(F.lit(t).alias("target"), F.lit(f).alias("feature"), F.col(f"{t}\t{f}").alias("r"))
-            for f, t in part]))
-        rows = one.select(cells.alias("cell")).select("cell.*")
-        out = rows if out is None else out.unionByName(rows)
-    return out.withColumn("suspicious", F.coalesce(F.abs("r") > limit, F.lit(False)))
+    features, targets = list(features), list(targets)
+    names = list(dict.fromkeys([*features, *targets]))
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = (len(targets), len(features))
+        n, mx, my, sxx, syy, sxy = (np.zeros(shape) for _ in range(6))
+        for batch in batches:
+            column = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names}
+            x, y = (np.stack([column[c] for c in cs], 1) if batch.num_rows else np.zeros((0, len(cs))) for cs in (features, targets))
+            hx, hy = ~np.isnan(x), ~np.isnan(y)
+            # About a middle value first, so that sums of squares stay small beside the spread.
+            cx, cy = (np.array([c[h].mean() if h.any() else 0.0 for c, h in zip(v.T, w.T)]) for v, w in ((x, hx), (y, hy)))
+            x0, y0 = np.where(hx, x - cx, 0.0), np.where(hy, y - cy, 0.0)
+            fx, fy = hx.astype(float), hy.astype(float)
+            k = fy.T @ fx
+            some = np.maximum(k, 1.0)
+            bx, by = fy.T @ x0 / some, y0.T @ fx / some
+            vx, vy, vxy = fy.T @ (x0 * x0) - k * bx * bx, (y0 * y0).T @ fx - k * by * by, y0.T @ x0 - k * bx * by
+            bx, by = bx + cx, by + cy[:, None]
+            total = np.maximum(n + k, 1.0)
+            dx, dy, share = bx - mx, by - my, n * k / total
+            sxx, syy, sxy = sxx + vx + dx * dx * share, syy + vy + dy * dy * share, sxy + vxy + dx * dy * share
+            mx, my, n = mx + np.where(k > 0, dx * k / total, 0.0), my + np.where(k > 0, dy * k / total, 0.0), n + k
+        t, f = np.divmod(np.arange(n.size), len(features))
+        yield pa.RecordBatch.from_pydict({"target": pa.array([targets[i] for i in t], pa.string()), "feature": pa.array([features[i] for i in f], pa.string()),
+                                          **{c: pa.array(v.ravel()) for c, v in zip(("n", "mx", "my", "sxx", "syy", "sxy"), (n, mx, my, sxx, syy, sxy))}})
+
+    # A row per pair and task is stored: three aggregations follow, the rows themselves are read once.
+    parts = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in names]).mapInArrow(
+        moments, "target string, feature string, n double, mx double, my double, sxx double, syy double, sxy double"))
+    # Sums of squares about the common mean: those of the parts plus the spread of their means about a fixed point.
+    held = parts.where("n > 0")
+    middle = held.groupBy("target", "feature").agg(*[(F.sum(F.col("n") * F.col(m)) / F.sum("n")).alias(f"__{m}") for m in ("mx", "my")])
+    apart = {m: F.col(m) - F.col(f"__{m}") for m in ("mx", "my")}
+    whole = held.join(middle, ["target", "feature"]).groupBy("target", "feature").agg(
+        F.sum(F.col("sxx") + F.col("n") * apart["mx"] * apart["mx"]).alias("xx"), F.sum(F.col("syy") + F.col("n") * apart["my"] * apart["my"]).alias("yy"),
+        F.sum(F.col("sxy") + F.col("n") * apart["mx"] * apart["my"]).alias("xy"), F.sum("n").alias("n"))
+    pairs = parts.select("target", "feature").distinct()
+    r = F.when((F.col("n") > 1) & (F.col("xx") > 0) & (F.col("yy") > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))))
+    return pairs.join(whole, ["target", "feature"], "left").select(
+        "target", "feature", r.alias("r"), F.coalesce(F.abs(r) > limit, F.lit(False)).alias("suspicious"))
 
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

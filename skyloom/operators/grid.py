@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.scalar import floor_time, on_grid, shift_time
 from skyloom.operators.series import (
+    CHUNK,
     MICROS,
     Series,
     dedupe,
     in_blocks,
+    row_pieces,
     with_neighbours,
     with_position,
 )
@@ -221,11 +223,12 @@ def clean_series(df: DataFrame, series: Series, columns: Sequence[str], arrival:
                  hold: int = 6, reach: int = 12) -> DataFrame:
     """Keep the first arrival per time, hold values for ``hold`` rows, then row-linear fill.
 
-    Both fills read their input several times; it is stored, so the source is scanned once.
+    Both fills read their input several times; it is stored, so the source is scanned once. Pieces
+    are ranges of rows, so arrivals may be as dense as they like.
     """
-    one = cut_lineage(dedupe(df, [*series.keys, series.time], arrival, keep="first").drop(arrival))
+    one = row_pieces(dedupe(df, [*series.keys, series.time], arrival, keep="first").drop(arrival), series)
     held = cut_lineage(ffill_limit(one, series, columns, hold))
-    return interpolate_limit(held, series, columns, reach, by="row")
+    return interpolate_limit(held, series, columns, reach, by="row").drop(CHUNK)
 
 
 # ---- gaps ----------------------------------------------------------------

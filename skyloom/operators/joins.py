@@ -14,7 +14,7 @@ from skyloom.functions.scalar import clip
 from skyloom.functions.weather import haversine_km
 from skyloom.operators.aggregates import median_fill, resample_mean
 from skyloom.operators.grid import ffill_limit, interpolate_limit
-from skyloom.operators.series import Series, with_neighbours
+from skyloom.operators.series import Series, row_pieces, with_neighbours
 from skyloom.session import cut_lineage
 
 
@@ -72,7 +72,8 @@ def nearest_asof(df: DataFrame, other: DataFrame, series: Series, columns: Seque
     """For each row the row of ``other`` at the smallest time distance; a tie takes the earlier.
 
     Both sides are stacked into one series and the nearest carried values are read from either
-    side: one pass, no range join.
+    side: one pass, no range join. Pieces hold equal numbers of rows, so a key or a moment with most
+    rows is many tasks.
     """
     keys, time = list(series.keys), series.time
     values = F.struct(*columns)
@@ -81,7 +82,7 @@ def nearest_asof(df: DataFrame, other: DataFrame, series: Series, columns: Seque
     left = df.select(*keys, time, F.lit(1).alias("__side"), F.struct(
         *(rest or [F.lit(1).alias("__none")])).alias("__row"))
     stacked = left.unionByName(right, allowMissingColumns=True)
-    near = with_neighbours(stacked, series, ["__match"], tie=["__side"])
+    near = with_neighbours(row_pieces(stacked, series, "__side"), series, ["__match"], tie=["__side"])
     at = series.at()
     back, ahead = at - F.col("__pt___match"), F.col("__nt___match") - at
     take_back = F.col("__pv___match").isNotNull() & (ahead.isNull() | (back <= ahead))

@@ -4,7 +4,7 @@ A single series may hold a large share of all rows, so nothing here opens a wind
 series. Rows are cut into pieces and windows run inside a piece:
 
 * unbounded look-back / look-ahead (fill, interpolation, as-of, gaps): a piece is a stretch of
-  time; one summary row per piece carries the nearest value into the neighbouring pieces
+  time, or a range of rows where times may be dense (:func:`row_pieces`); one summary row per piece carries the nearest value into the neighbouring pieces
   (:func:`with_neighbours`);
 * bounded frames (lags, rolling, smoothing): a piece is a block of row positions, and the rows
   next to a block border are copied into the neighbouring block (:func:`in_blocks`).
@@ -20,6 +20,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from skyloom.session import cut_lineage
+
 CHUNK, OWN, BLOCK = "__chunk", "__own", "__block"
 MICROS = 1_000_000
 
@@ -52,6 +54,23 @@ class Series:
         return self.step * MICROS
 
 
+def row_pieces(df: DataFrame, series: Series, *order: str) -> DataFrame:
+    """``df`` in pieces of about equal numbers of rows, whatever their times; stored.
+
+    Spark samples the keys and times for the borders of the ranges, so a key with most rows, or most rows within one stretch of
+    time, is dealt to as many pieces as it fills. Pieces ascend with key, time and ``order``; operators that carry
+    values from piece to piece take one summary row of each. Only rows equal in all of these cannot be parted.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.drop(CHUNK).repartitionByRange(n, *series.keys, series.time, *order)
+    return cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id().cast("bigint")))
+
+
+def in_pieces(df: DataFrame, series: Series) -> DataFrame:
+    """The pieces a frame has, or stretches of time."""
+    return df if CHUNK in df.columns else df.withColumn(CHUNK, series.chunk_of(series.at()))
+
+
 def with_neighbours(df: DataFrame, series: Series, columns: Sequence[str], *,
                     back: bool = True, ahead: bool = True, strict: bool = False,
                     strict_back: Sequence[str] = (), at: Column | None = None,
@@ -61,14 +80,14 @@ def with_neighbours(df: DataFrame, series: Series, columns: Sequence[str], *,
     Adds ``__pt_c`` / ``__pv_c`` (coordinate and value at or before the row) and ``__nt_c`` /
     ``__nv_c`` (at or after it; strictly after with ``strict``). Columns in ``strict_back`` look
     strictly before the row. ``at`` is the BIGINT coordinate, microseconds by default.
-    Columns in ``tie`` order rows that share a coordinate.
+    Columns in ``tie`` order rows that share a coordinate. Pieces made by :func:`row_pieces` are used
+    as they are.
     """
     at = series.at() if at is None else at
     keys = list(series.keys)
-    pieces = df.withColumn("__at", at).withColumn(
-        CHUNK, series.chunk_of(F.unix_micros(F.col(series.time))))
+    pieces = in_pieces(df.withColumn("__at", at), series)
 
-    summary, carried, added, helpers = [], [], [], ["__at", CHUNK]
+    summary, carried, added, helpers = [], [], [], ["__at", *([] if CHUNK in df.columns else [CHUNK])]
     by = ", ".join(f"`{k}`" for k in keys)
     # A frame that ends at the last row is quadratic in Spark; the mirrored order is not.
     earlier, later = (f"OVER (PARTITION BY {by} ORDER BY {CHUNK} {way} ROWS BETWEEN UNBOUNDED PRECEDING "
@@ -113,7 +132,7 @@ def with_position(df: DataFrame, series: Series, name: str = "__pos",
     if series.complete:
         return df.withColumn(name, F.expr(f"unix_micros(`{series.time}`) div {series.step_us}L"))
     keys = list(series.keys)
-    pieces = df.withColumn(CHUNK, series.chunk_of(series.at()))
+    pieces = in_pieces(df, series)
     counts = pieces.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, CHUNK,
@@ -121,7 +140,7 @@ def with_position(df: DataFrame, series: Series, name: str = "__pos",
     inside = Window.partitionBy(*keys, CHUNK).orderBy(series.time, *tie)
     return (pieces.join(offsets, [*keys, CHUNK])
             .withColumn(name, F.col("__off") + F.row_number().over(inside) - 1)
-            .drop(CHUNK, "__off"))
+            .drop("__off", *([] if CHUNK in df.columns else [CHUNK])))
 
 
 @dataclass(frozen=True)

@@ -17,11 +17,13 @@ SITE = Series(step=3600, chunk=30 * 86400)
 @pytest.fixture
 def no_merging(spark):
     """Shuffle partitions as they come, so that the spread of rows can be seen."""
-    name = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "24"}
+    old = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
     yield
-    spark.conf.set(name, old)
+    for name, value in old.items():
+        spark.conf.set(name, value)
 
 
 def spread(df):
@@ -81,3 +83,89 @@ def test_merged_history_does_not_reread_its_sources(spark):
 
     out = joins.merge_history(source(), source(), source(), SITE, ["ghi"])
     assert out.count() == 3 and reads.value <= 4 * 3
+
+
+def dense(n=30_000, seed=1):
+    """Nearly all rows of one key within a minute, and a second key."""
+    rng = np.random.default_rng(seed)
+    micros = np.sort(rng.integers(0, 60_000_000, n))
+    times = pd.Timestamp("2024-01-01") + pd.to_timedelta(micros, unit="us")
+    return pd.DataFrame({"site": np.where(np.arange(n) % 50 == 0, 2, 1), "time": times, "v": rng.normal(size=n).round(3)})
+
+
+def test_dense_rows_of_one_key_are_many_tasks(spark, no_merging):
+    other = dense(seed=2)
+    left, right = (spark.createDataFrame(d) for d in (dense()[["site", "time"]], other))
+    got = joins.nearest_asof(left, right, SITE, ["v"])
+    total, most = spread(got)
+    assert total == 30_000 and most < total / 3
+    for site in (1, 2):
+        mine = dense().query("site == @site").sort_values("time")[["time"]]
+        want = pd.merge_asof(mine, other.query("site == @site").groupby("time", as_index=False).first()[["time", "v"]], on="time", direction="nearest")
+        have = got.where(F.col("site") == site).toPandas().sort_values("time")
+        assert list(have["time"]) == list(want["time"])
+        assert (have["v"].to_numpy() == want["v"].to_numpy()).mean() > 0.999  # equal distances: the earlier
+
+
+def test_dense_arrivals_are_cleaned_as_one_series(spark):
+    rng = np.random.default_rng(3)
+    frame = dense(6000)[["site", "time", "v"]].drop_duplicates(["site", "time"])
+    frame.loc[rng.random(len(frame)) < 0.7, "v"] = np.nan
+    rows = spark.createDataFrame(frame).selectExpr("site", "time", "if(isnan(v), null, v) AS v", "1 AS seq")
+    got = grid.clean_series(rows.repartition(7), SITE, ["v"], "seq", hold=3, reach=4).toPandas()
+    for site, part in frame.groupby("site"):
+        want = part.sort_values("time")["v"].ffill(limit=3).interpolate(limit=4)
+        have = got[got["site"] == site].sort_values("time")["v"]
+        np.testing.assert_allclose(have.to_numpy(), want.to_numpy(), rtol=1e-9)
+
+
+def test_an_outlier_leaves_no_large_bucket(spark, monkeypatch):
+    """One value of 1e12 among values near 0, nulls, equal values, and keys of their own size."""
+    rng = np.random.default_rng(4)
+    data = pd.DataFrame({"k": np.where(np.arange(40_000) % 100 == 0, 2, 1), "x": rng.normal(size=40_000), "y": np.round(rng.normal(size=40_000), 1)})
+    data.loc[7, "x"], data.loc[8, "y"] = 1e12, -1e15
+    data.loc[::9, "x"] = np.nan
+    df = spark.createDataFrame(data).selectExpr("k", "if(isnan(x), null, x) AS x", "y").repartition(6)
+    sizes = []
+    seen = aggregates.ordered_values
+    monkeypatch.setattr(aggregates, "ordered_values", lambda rows: sizes.append(rows) or seen(rows))
+    q = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {(r["k"], r["column"]): [r[f"q_{i}"] for i in range(5)] for r in aggregates.exact_quantiles(df, ["x", "y"], q, ["k"], bucket_rows=300).collect()}
+    for k in (1, 2):
+        for c in ("x", "y"):
+            assert got[k, c] == pytest.approx(data[data["k"] == k][c].quantile(q).tolist(), rel=1e-12)
+    largest = sizes[0].groupBy("k", "__column", "__round", "__bucket").count().agg(F.max("count")).first()[0]
+    assert largest <= 300
+    assert aggregates.exact_quantiles(df.where("false"), ["x"], [0.5]).count() == 0
+    nothing = df.withColumn("x", F.lit(None).cast("double"))
+    assert aggregates.exact_quantiles(nothing, ["x"], [0.5]).count() == 0
+    constant = aggregates.exact_quantiles(df.withColumn("x", F.lit(3.0)), ["x"], [0.25, 0.5], bucket_rows=2).first()
+    assert (constant["q_0"], constant["q_1"]) == (3.0, 3.0)
+
+
+def test_correlations_of_many_pairs_in_one_scan(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(3000, 40)) + 1e6
+    data = pd.DataFrame(base, columns=[f"f{i}" for i in range(40)])
+    data["t0"], data["t1"] = data["f0"] * -2 + 7, data["f1"] + rng.normal(size=3000)
+    data["flat"], data["gone"] = 5.0, np.nan
+    data.loc[::3, "f2"], data.loc[::7, "t1"] = np.nan, np.nan
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(data).repartition(5)
+    df = df.mapInArrow(counted, df.schema)
+    features, targets = [*data.columns[:40], "flat", "gone"], ["t0", "t1"]
+    got = {(r["target"], r["feature"]): r for r in aggregates.correlations(df, features, targets).collect()}
+    assert len(got) == 84 and reads.value == 3000
+    for (t, f), row in got.items():
+        want = data[[t, f]].dropna().corr().iloc[0, 1] if data[f].nunique() > 1 else np.nan
+        assert row["r"] == pytest.approx(want, abs=1e-9) if want == want else row["r"] is None
+        assert row["suspicious"] == (abs(want) > 0.99)
+    assert got["t0", "f0"]["suspicious"]
+    none = aggregates.correlations(df.where("false"), features[:2], targets)
+    assert all(r["r"] is None for r in none.collect())
