@@ -62,8 +62,8 @@ def stream_upsert(t: Tables):
 def stream_tumbling_mean(t: Tables):
     path, rows = t.work("means"), t.quarter()
     means = jobs.tumbling_mean(stream(t, rows), QUARTER, ["value"], "1 hour")
-    finished(jobs.write_updates(means, path, t.work("ckpt")))
-    return jobs.read_current(t.spark, path, ["source", "time"], means.schema)
+    finished(jobs.write_updates(means, path, ["source", "time"], t.work("ckpt")))
+    return jobs.read_current(t.spark, path, means.schema)
 
 
 @query(sql("""SELECT source, time, avg(value) AS value_mean, stddev_samp(value) AS value_std FROM (
@@ -72,8 +72,8 @@ def stream_tumbling_mean(t: Tables):
 def stream_sliding_stats(t: Tables):
     path, rows = t.work("sliding"), t.quarter()
     stats = jobs.sliding_stats(stream(t, rows), QUARTER, ["value"], "1 hour", "15 minutes", "2 hours")
-    finished(jobs.write_updates(stats, path, t.work("ckpt")))
-    return jobs.read_current(t.spark, path, ["source", "time"], stats.schema)
+    finished(jobs.write_updates(stats, path, ["source", "time"], t.work("ckpt")))
+    return jobs.read_current(t.spark, path, stats.schema)
 
 
 @query(sql("SELECT DISTINCT event_type AS source, date_trunc('hour', ts) AS time FROM events"))
@@ -85,18 +85,22 @@ def stream_dedupe(t: Tables):
     return jobs.read_batches(t.spark, path, unique.schema).drop("batch_id")
 
 
-@query(sql("SELECT * FROM obs", *base(sql_obs(MEASURE)), doubles=MEASURE))
+@query(sql("""SELECT o.site, o.time, o.temperature_2m, o.time < TIMESTAMP '2024-01-21 00:00:00' AND coalesce(EXISTS (SELECT 1 FROM obs l
+  WHERE l.site = o.site AND l.time < TIMESTAMP '2024-01-21 00:00:00' AND CAST(l.time AS DATE) = CAST(o.time AS DATE)
+  AND l.time < n.newest - INTERVAL 14 DAY), FALSE) AS repaired FROM obs o LEFT JOIN (SELECT site, max(time) AS newest FROM obs
+  WHERE time >= TIMESTAMP '2024-01-21 00:00:00' GROUP BY site) n ON n.site = o.site""", *base(sql_obs(MEASURE)), doubles=MEASURE))
 def late_data(t: Tables):
-    """The newest stretch arrives first; older rows than the state keeps still reach the table."""
-    path, rows = t.work("late"), t.obs(MEASURE)
-    source = t.work("late-input")
+    """The newest stretch arrives first. Older rows still reach the table; those that the stream's state no longer covers
+    name the days to be made again."""
+    path, source, checkpoint, rows = t.work("late"), t.work("late-input"), t.work("ckpt"), t.obs(MEASURE)
     newest = F.col("time") >= ts(CUTS[1])
     for stretch in (newest, ~newest):
         rows.where(stretch).write.mode("append").parquet(source)
-    files = t.spark.read.parquet(source).inputFiles()
-    late = jobs.read_folder(t.spark, source, rows.schema, max(1, len(files) // 2))
-    finished(jobs.upsert_stream(late, path, ["site", "time"], t.work("ckpt"), audit=None))
-    return t.spark.read.parquet(path).select("site", "time", *MEASURE)
+        arriving = jobs.read_folder(t.spark, source, rows.schema)
+        finished(jobs.upsert_with_late(arriving, path, HOURLY, checkpoint))
+    days = t.spark.read.parquet(f"{path}_repairs").select("site", F.col("day").alias("obs_date")).distinct().withColumn("repaired", F.lit(True))
+    stored = t.spark.read.parquet(path).join(days, ["site", "obs_date"], "left")
+    return stored.select("site", "time", *MEASURE, F.coalesce("repaired", F.lit(False)).alias("repaired"))
 
 
 @query(sql("""SELECT site, time + INTERVAL 1 HOUR AS gap_start, following - INTERVAL 1 HOUR AS gap_end FROM (
@@ -104,9 +108,9 @@ def late_data(t: Tables):
   WHERE following > time + INTERVAL 1 HOUR""", *base(sql_obs(MEASURE))))
 def stream_gap_alert(t: Tables):
     path = t.work("alerts")
-    found = jobs.gap_alerts(stream(t, t.obs(MEASURE)), HOURLY)
+    found = jobs.gap_alerts(stream(t, t.obs(MEASURE)), HOURLY, keep_days=40)
     finished(jobs.write_appends(found, path, t.work("ckpt")))
-    return jobs.read_batches(t.spark, path, found.schema).drop("batch_id")
+    return jobs.open_gaps(jobs.read_batches(t.spark, path, found.schema), ["site"])
 
 
 @query(sql("""SELECT lat, lon, time + INTERVAL 1 HOUR AS gap_start, following - INTERVAL 1 HOUR AS gap_end FROM (
@@ -115,6 +119,6 @@ def stream_gap_alert(t: Tables):
 def stream_gap_alert_by_place(t: Tables):
     """Keys of two columns that are not whole numbers."""
     path, series = t.work("alerts"), Series(keys=("lat", "lon"), step=3600)
-    found = jobs.gap_alerts(stream(t, t.obs(MEASURE, keys=("lat", "lon"))), series)
+    found = jobs.gap_alerts(stream(t, t.obs(MEASURE, keys=("lat", "lon"))), series, keep_days=40)
     finished(jobs.write_appends(found, path, t.work("ckpt")))
-    return jobs.read_batches(t.spark, path, found.schema).drop("batch_id")
+    return jobs.open_gaps(jobs.read_batches(t.spark, path, found.schema), ["lat", "lon"])

@@ -7,15 +7,18 @@ repeated batch changes nothing.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from skyloom.operators.series import Series, dedupe
+from skyloom.operators.series import Series
+from skyloom.session import cut_lineage
 from skyloom.sources.writers import merge_into, read_if_exists
 
 
@@ -48,9 +51,10 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     return rows
 
 
-def read_current(spark: SparkSession, path: str, keys: Sequence[str], schema) -> DataFrame:
-    """Newest batch per key: the present state of an update-mode aggregation."""
-    return dedupe(read_batches(spark, path, schema), list(keys), "batch_id").drop("batch_id")
+def read_current(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The present state that :func:`write_updates` keeps: one row per key, a plain scan."""
+    rows = read_if_exists(spark, path)
+    return spark.createDataFrame([], schema) if rows is None else rows.select(*schema.fieldNames())
 
 
 def land_and_parse(payloads: DataFrame, parse: Callable[[DataFrame], DataFrame], raw_path: str,
@@ -102,9 +106,17 @@ def sliding_stats(rows: DataFrame, series: Series, columns: Sequence[str], width
             .select(*series.keys, F.col("window.end").alias(series.time), *names))
 
 
-def write_updates(aggregate: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Changed groups of every batch; read them back with :func:`read_current`."""
-    return start(aggregate, _to_batch_folder(path), checkpoint, mode="update", every=every)
+def write_updates(aggregate: DataFrame, path: str, keys: Sequence[str], checkpoint: str, *, time: str = "time",
+                  every: str | None = None) -> StreamingQuery:
+    """Keep the newest value of every group in a keyed table.
+
+    A batch brings each changed group once and is merged into the days it touches, which the watermark bounds. So the
+    table holds one row per group at all times; a repeated batch writes the same rows again.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        merge_into(batch, path, keys, mode="replace", partition_of=F.to_date(time))
+
+    return start(aggregate, handle, checkpoint, mode="update", every=every)
 
 
 def unique_rows(rows: DataFrame, series: Series, delay: str) -> DataFrame:
@@ -117,34 +129,101 @@ def write_appends(rows: DataFrame, path: str, checkpoint: str, every: str | None
 
 
 def split_late(batch: DataFrame, time: str, newest_seen: str, days: int = 14) -> tuple[DataFrame, DataFrame]:
-    """(in time, late): late rows are older than the state keeps and take the merge path."""
-    late = F.unix_micros(time) < F.unix_micros(newest_seen) - days * 86_400_000_000
+    """(in time, late): late rows are older than the state keeps and take the merge path. Rows of a key that was never
+    seen are in time."""
+    late = F.coalesce(F.unix_micros(time) < F.unix_micros(newest_seen) - days * 86_400_000_000, F.lit(False))
     return batch.where(~late), batch.where(late)
 
 
-def gap_alerts(rows: DataFrame, series: Series) -> DataFrame:
-    """Missing grid stretches between the rows of a key, as soon as a newer row arrives.
+def upsert_with_late(rows: DataFrame, path: str, series: Series, checkpoint: str, *, days: int = 14,
+                     mode: str = "update_given", every: str | None = None) -> StreamingQuery:
+    """Merge rows of any age into a keyed table and say which of them came late.
+
+    The newest time seen of every key is kept per batch under ``<path>_newest``. Rows up to ``days`` older
+    follow the stream. Older ones are merged in a step of their own, and their (keys, day) go to ``<path>_repairs``: what was
+    derived from these days is to be made again. A repeated batch reads the state before it, so it parts the same rows.
+    """
+    keys, t = list(series.keys), series.time
+    to_newest, to_repairs = _to_batch_folder(f"{path}_newest"), _to_batch_folder(f"{path}_repairs")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = cut_lineage(batch)
+        known = read_if_exists(spark, f"{path}_newest")
+        if known is not None:
+            known = known.where(F.col("batch_id") < batch_id)
+            known = cut_lineage(known.groupBy(*keys).agg(F.max("__newest").alias("__newest")))
+            marked = batch.join(known, keys, "left")
+        else:
+            marked = batch.withColumn("__newest", F.lit(None).cast("timestamp"))
+        current, late = (part.drop("__newest") for part in split_late(marked, t, "__newest", days))
+        merge_into(current, path, [*keys, t], mode=mode, partition_of=F.to_date(t))
+        if merge_into(late, path, [*keys, t], mode=mode, partition_of=F.to_date(t)):
+            to_repairs(late.select(*keys, F.to_date(t).alias("day")).distinct(), batch_id)
+        to_newest(batch.groupBy(*keys).agg(F.max(t).alias("__newest")), batch_id)
+
+    return start(rows, handle, checkpoint, every=every)
 
-    The state of a key is its newest time. A batch brings each key a bounded stretch of new rows.
+
+def _with_rows(first: int, last: int, gaps: list[tuple[int, int]], times: np.ndarray, step: int) -> tuple[int, int, list[tuple[int, int]]]:
+    """The span and the gaps of a key after rows at ``times`` (ascending); ``gaps`` ascend and do not touch."""
+    begins = [g[0] for g in gaps]
+    for t in times.tolist():
+        if t > last:
+            if t - last > step:
+                gaps.append((last + step, t - step))
+                begins.append(last + step)
+            last = t
+        elif t < first:
+            if first - t > step:
+                gaps.insert(0, (t + step, first - step))
+                begins.insert(0, t + step)
+            first = t
+        else:
+            i = bisect_right(begins, t) - 1
+            if i >= 0 and t <= gaps[i][1]:
+                low, high = gaps[i]
+                rest = [g for g in ((low, t - step), (t + step, high)) if g[0] <= g[1]]
+                gaps[i:i + 1], begins[i:i + 1] = rest, [g[0] for g in rest]
+    return first, last, gaps
+
+
+def gap_alerts(rows: DataFrame, series: Series, keep_days: int = 14) -> DataFrame:
+    """Missing grid stretches between the rows of a key, as they open and as late rows close them.
+
+    Rows may come in any order. ``change`` is 1 for a gap that opened and -1 for one that is withdrawn because a row
+    fell into it; what is left of it opens anew. :func:`open_gaps` adds the changes up. The state of a
+    key is its span and the gaps of its last ``keep_days`` days: older gaps are final, and rows older than that do not change them.
     """
-    names, step = list(series.keys), series.step_us
+    names, step, keep = list(series.keys), series.step_us, keep_days * 86_400_000_000
     kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in names)
 
     def find(keys: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times = pd.concat([p["__at"] for p in parts]).drop_duplicates().sort_values()
+        times = np.unique(np.concatenate([p["__at"].to_numpy() for p in parts]))
         if state.exists:
-            last = state.get[0]
-            times = pd.concat([pd.Series([last]), times[times > last]])
-        state.update((int(times.iloc[-1]),))
-        ahead = times.shift(-1)
-        open_ = (ahead - times) > step
-        if open_.any():
-            yield pd.DataFrame({**dict(zip(names, keys)), "gap_start": (times[open_] + step).astype("int64"),
-                                "gap_end": (ahead[open_] - step).astype("int64")})
+            first, last, lows, highs = state.get
+            before = list(zip(lows, highs))
+        else:
+            first, last, before = int(times[0]), int(times[0]), []
+        first, last, after = _with_rows(first, last, list(before), times[times >= last - keep], step)
+        opened, withdrawn = sorted(set(after) - set(before)), sorted(set(before) - set(after))
+        kept = [g for g in after if g[1] >= last - keep]
+        state.update((max(first, last - keep), last, [g[0] for g in kept], [g[1] for g in kept]))
+        changes = [(*g, 1) for g in opened] + [(*g, -1) for g in withdrawn]
+        if changes:
+            low, high, change = zip(*changes)
+            yield pd.DataFrame({**dict(zip(names, keys)), "gap_start": list(low), "gap_end": list(high), "change": list(change)})
 
     on_grid = F.pmod(series.at(), F.lit(step)) == 0
     slim = rows.where(on_grid).select(*names, series.at().alias("__at"))
     found = slim.groupBy(*names).applyInPandasWithState(
-        find, f"{kinds}, gap_start bigint, gap_end bigint", "last bigint", "append", GroupStateTimeout.NoTimeout)
+        find, f"{kinds}, gap_start bigint, gap_end bigint, change int", "first bigint, last bigint, lows array<bigint>, highs array<bigint>",
+        "append", GroupStateTimeout.NoTimeout)
     return found.select(*names, F.timestamp_micros("gap_start").alias("gap_start"),
-                        F.timestamp_micros("gap_end").alias("gap_end"))
+                        F.timestamp_micros("gap_end").alias("gap_end"), "change")
+
+
+def open_gaps(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Gaps that opened and were not withdrawn."""
+    return (changes.groupBy(*keys, "gap_start", "gap_end").agg(F.sum("change").alias("__open"))
+            .where(F.col("__open") > 0).drop("__open"))
