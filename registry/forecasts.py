@@ -33,6 +33,7 @@ from registry.grids import TWO, ts
 from registry.storage import _RUNS, training_runs
 from skyloom import config
 from skyloom.functions.scalar import horizon_bucket as bucket
+from skyloom.functions.scalar import site_key, site_lat, site_lon
 from skyloom.operators import features as feats
 from skyloom.operators import grid as grids
 from skyloom.operators import boosting, models, postprocess
@@ -42,6 +43,7 @@ from skyloom.operators.series import Series
 from skyloom.operators.tables import top_features
 from skyloom.plans import forecast as plans
 from skyloom.plans.recursion import feature_order
+from skyloom.sources import writers
 from skyloom.session import cut_lineage
 
 SNAPSHOT = Series(keys=("site", "issue_time"), time="forecast_time", step=3600, chunk=10 * 86400)
@@ -332,15 +334,19 @@ def _limited_sql(names: list[str]) -> str:
     return ", ".join(f"{_bound(c, c, _NIGHT)} AS {c}" for c in names)
 
 
-@query(_recursive(f"SELECT site, issue_time, forecast_time, step, {_three(TARGETS)} FROM (SELECT site, issue_time, forecast_time, step, {_limited_sql(TARGETS)} FROM smooth)",
+@query(_recursive(f"SELECT site, issue_time, forecast_time, 'v1' AS model_version, {_three(TARGETS)} FROM (SELECT site, issue_time, forecast_time, {_limited_sql(TARGETS)} FROM smooth)",
                   f"""smooth AS (SELECT site, issue_time, forecast_time, step, {', '.join(_smooth(c, 11, 3.0, 'site, issue_time') for c in TARGETS)}
                     FROM steps WHERE step >= 0)"""))
 def on_demand_cycle(t: Tables):
-    """The whole cycle of all locations with current models; ``train_regressors`` and the tests fit them."""
+    """The whole cycle of all locations with current models (``train_regressors`` and the tests fit them), stored and read back."""
     runs = _observed(t).select("site", F.lit("2024-02-04 12:00:00").cast("timestamp").alias("trained_at")).distinct()
     made = plans.cycle(_observed(t), t.forecast("provider", config.PROVIDER_MEASURES), runs, HOURLY, ts("2024-02-05 00:00:00"),
                        measures=config.MEASURES, models=_step_models())
-    return made.forecast.select("site", "issue_time", "forecast_time", "step", *[rounded(c, 3).alias(c) for c in TARGETS])
+    folder = t.work("cycle")
+    for _ in range(2):  # a cycle that is run again replaces its own rows
+        writers.store_forecast(made.forecast, None, folder, "v1", "boosted", site_lat("site"), site_lon("site"), TARGETS)
+    stored = t.spark.read.parquet(f"{folder}/forecasts")
+    return stored.select(site_key("lat", "lon").alias("site"), "issue_time", "forecast_time", "model_version", *[rounded(c, 3).alias(c) for c in TARGETS])
 
 
 # ---- the direct forecast

@@ -27,6 +27,7 @@ from registry.grids import TWO, ts
 from skyloom import config
 from skyloom.operators import aggregates, joins
 from skyloom.operators.features import lag_features
+from skyloom.sources import writers
 
 _J = """j AS (SELECT coalesce(a.site, b.site) AS site, coalesce(a.time, b.time) AS time, {cols}
   FROM {a} a FULL JOIN {b} b ON a.site = b.site AND a.time = b.time)"""
@@ -112,12 +113,15 @@ def attach_scalar_row(t: Tables):
     return joins.attach_snapshot(t.obs(["temperature_2m"]), snapshot, "ts")
 
 
-@query(sql("""SELECT site, time, lag(temperature_2m) OVER (PARTITION BY site ORDER BY time) AS temperature_2m_lag_1,
-  temperature_2m FROM grid""", *base(sql_obs(["temperature_2m"]), sql_grid(["temperature_2m"])),
-           doubles=["temperature_2m", "temperature_2m_lag_1"]))
+@query(sql("""SELECT f.site, f.time, f.temperature_2m_lag_1, f.cloud_cover_lag_1, o.temperature_2m, o.cloud_cover FROM (
+  SELECT site, time, lag(temperature_2m) OVER (PARTITION BY site ORDER BY time) AS temperature_2m_lag_1,
+    lag(cloud_cover) OVER (PARTITION BY site ORDER BY time) AS cloud_cover_lag_1 FROM grid) f
+  LEFT JOIN obs o ON o.site = f.site AND o.time = f.time""", *base(sql_obs(TWO), sql_grid(TWO)),
+           doubles=[*TWO, "temperature_2m_lag_1", "cloud_cover_lag_1"]))
 def targets_join(t: Tables):
-    """Features and targets of a row come from one projection; there is nothing to join."""
-    return lag_features(t.grid(["temperature_2m"]), FULL, ["temperature_2m"], (1,))
+    """Features of every grid step with the targets that were observed; steps without an observation keep NULL targets."""
+    features = lag_features(t.grid(TWO), FULL, TWO, (1,)).drop(*TWO)
+    return joins.join_targets(features, t.obs(TWO), FULL, TWO)
 
 
 _SUP = """sta AS (SELECT s_suppkey AS station_id, CAST(6 + (s_suppkey * 37 % 1240) / 40e0 AS DOUBLE) AS lat,
@@ -214,11 +218,17 @@ def long_predictions(t: Tables):
         F.col("value").alias("predicted_value"))
 
 
-@query(sql(f"""SELECT issue_time, forecast_time, model_version, {', '.join(
-    f"max(CASE WHEN target = '{c}' THEN predicted_value END) AS {c}" for c in TARGETS)} FROM lp GROUP BY 1, 2, 3""",
-           _LONG, doubles=TARGETS))
+@query(sql(f"""SELECT issue_time, forecast_time, model_version, 28.6139e0 AS lat, 77.209e0 AS lon, 'ml' AS forecast_type, 'boosted' AS source,
+  {', '.join(f"max(CASE WHEN target = '{c}' THEN predicted_value END) + CASE WHEN model_version = 'v0' THEN 1000 ELSE 0 END AS {c}" for c in TARGETS)}
+  FROM lp GROUP BY 1, 2, 3""", _LONG, doubles=[*TARGETS, "lat", "lon"]))
 def pivot_long_to_wide(t: Tables):
-    return aggregates.pivot_targets(long_predictions(t), ["issue_time", "forecast_time", "model_version"], TARGETS)
+    """Long predictions inserted into a forecast table that holds one version already, with other values; done twice."""
+    path, long = t.work("pivoted"), long_predictions(t)
+    constants = {"lat": F.lit(28.6139), "lon": F.lit(77.209), "forecast_type": F.lit("ml"), "source": F.lit("boosted")}
+    first = long.where("model_version = 'v0'").withColumn("predicted_value", F.col("predicted_value") + 1000)
+    for part in (first, long, long):
+        writers.insert_predictions(part, path, TARGETS, constants)
+    return t.spark.read.parquet(path).drop("issue_date")
 
 
 @query(sql("SELECT event_type AS \"column\", median(value) AS median FROM events GROUP BY 1", doubles=["median"]))

@@ -297,7 +297,9 @@ _OM_HELD = ", ".join(f"""coalesce(last_value(e.{c} IGNORE NULLS) OVER (PARTITION
   PRECEDING AND CURRENT ROW), 0) AS om_{c}""" for c in ("ghi", "temperature"))
 _ST_SAMPLE = ["ghi_lag288", "temperature_lag1", "windspeed_rmean_12h", "windspeed_rstd_1h", "hour_sin", "ghi_dhi_ratio",
               "temp_wind_interaction", "ghi_ema_4", "temperature_diff_24h", "om_ghi", "om_temperature",
-              "vedas_solar_potential"]
+              "vedas_temperature", "vedas_solar_potential"]
+_OUTLOOK = ", ".join(f"""coalesce(last_value(v.{c} IGNORE NULLS) OVER (PARTITION BY sg.site ORDER BY sg.time ROWS BETWEEN 4
+  PRECEDING AND CURRENT ROW), 0) AS {n}""" for c, n in (("temperature", "vedas_temperature"), ("ghi", "vedas_solar_potential")))
 
 
 @query("WITH RECURSIVE " + sql(
@@ -309,16 +311,19 @@ _ST_SAMPLE = ["ghi_lag288", "temperature_lag1", "windspeed_rmean_12h", "windspee
   sin(2 * {PI} * (hour(sg.time) + minute(sg.time) / 60e0) / 24) AS hour_sin,
   coalesce(CASE WHEN sg.dhi > 1 THEN sg.ghi / sg.dhi ELSE 0 END, 0) AS ghi_dhi_ratio,
   coalesce(sg.temperature * sg.windspeed / 100, 0) AS temp_wind_interaction,
-  coalesce(sg.temperature - lag(sg.temperature, 96) OVER s, 0) AS temperature_diff_24h, {_OM_HELD},
-  0e0 AS vedas_solar_potential,
+  coalesce(sg.temperature - lag(sg.temperature, 96) OVER s, 0) AS temperature_diff_24h, {_OM_HELD}, {_OUTLOOK},
   lag(sg.dhi, 288) OVER s IS NOT NULL AND lag(sg.windspeed, 288) OVER s IS NOT NULL AS ready
-  FROM sg LEFT JOIN ext e ON e.site = sg.site AND e.time = sg.time WINDOW s AS (PARTITION BY sg.site ORDER BY sg.time)) m
+  FROM sg LEFT JOIN ext e ON e.site = sg.site AND e.time = sg.time
+  LEFT JOIN ext v ON v.site = sg.site AND v.time = sg.time - INTERVAL 1 HOUR WINDOW s AS (PARTITION BY sg.site ORDER BY sg.time)) m
   JOIN (SELECT site, time, y AS ghi_ema_4 FROM em) em ON em.site = m.site AND em.time = m.time
   WHERE ready AND ghi_lag288 IS NOT NULL AND temperature_lag1 IS NOT NULL AND warm IS NOT NULL""",
     *_STATION_BASE, sql_ema("ghi", 4, "sg", "em"), doubles=_ST_SAMPLE)[5:])
 def feature_matrix_v1(t: Tables):
     external = t.station(second=True).withColumnsRenamed({c: f"om_{c}" for c in _ST})
-    matrix = feats.station_matrix(t.station_grid(), FULL, external, None, gapless=True)
+    # The second source: the outlook of the hour before.
+    outlook = t.station(second=True).select("site", (F.col("time") + F.expr("INTERVAL 1 HOUR")).alias("time"),
+                                            F.col("temperature").alias("vedas_temperature"), F.col("ghi").alias("vedas_solar_potential"))
+    matrix = feats.station_matrix(t.station_grid(), FULL, external, outlook, gapless=True)
     return matrix.select("site", "time", *_ST_SAMPLE)
 
 

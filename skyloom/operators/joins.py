@@ -67,6 +67,15 @@ def left_join_external(df: DataFrame, external: DataFrame | None, series: Series
     return held.fillna(0.0, subset=list(columns))
 
 
+def join_targets(features: DataFrame, targets: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame:
+    """Stored features with the targets of their time; a row without targets keeps NULLs, a target without features goes.
+
+    Use it where the two are stored apart. A matrix built from one frame carries its targets along without a join.
+    """
+    on = [*series.keys, series.time]
+    return features.join(targets.select(*on, *columns), on, "left")
+
+
 def nearest_asof(df: DataFrame, other: DataFrame, series: Series, columns: Sequence[str],
                  default: float = 0.0) -> DataFrame:
     """For each row the row of ``other`` at the smallest time distance; a tie takes the earlier.

@@ -8,6 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyloom.operators.aggregates import pivot_targets
+from skyloom.operators.postprocess import forecast_to_long
+from skyloom.operators.tables import STORED_PREDICTION, simplify_prediction
 from skyloom.session import cut_lineage
 from skyloom.sources import upserts
 
@@ -133,6 +136,52 @@ def registry_rows(runs: DataFrame, algorithm: str, feature_version: str, token:
                       "metrics")
 
 
+def bucket_of(keys: Sequence[str], buckets: int = 16) -> Column:
+    """Partition of tables whose keys hold no date."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def write_runs(runs: DataFrame, registry: str, history: str, algorithm: str, feature_version: str, token: Column) -> int:
+    """Merge training runs into the registry (newest per model name) and into the run history (one row per ``RUN_KEYS``).
+
+    Of equal keys in ``runs`` the one trained last counts. Repeating the call changes nothing. Returns the runs offered.
+    """
+    runs = cut_lineage(runs.withColumn("__trained", F.unix_micros("trained_at")))
+    merge_into(registry_rows(runs, algorithm, feature_version, token), registry, ["model_name"], mode="replace",
+               partition="bucket", partition_of=bucket_of(["model_name"]))
+    return merge_into(runs, history, upserts.RUN_KEYS, mode="replace", partition="bucket", partition_of=bucket_of(upserts.RUN_KEYS), order="__trained")
+
+
+def insert_predictions(long: DataFrame, path: str, targets: Sequence[str], constants: Mapping[str, Column]) -> int:
+    """Long predictions as forecast rows: one wide row per (issue, forecast, version) with the columns that the long form
+    lacks as ``constants``. Rows that the table has stay as they are. Returns the rows offered."""
+    ids = ["issue_time", "forecast_time", "model_version"]
+    wide = pivot_targets(long, ids, targets).withColumns(dict(constants))
+    return merge_into(wide, path, upserts.FORECAST_KEYS, mode="keep_existing", partition="issue_date", partition_of=F.to_date("issue_time"))
+
+
+def store_forecast(forecast: DataFrame, models: DataFrame | None, folder: str, version: str, source: str, lat: Column, lon: Column,
+                   targets: Sequence[str]) -> None:
+    """The stored end of a cycle: forecast rows, their long and simplified forms, and the models that made them.
+
+    Tables under ``folder``: ``forecasts``, ``predictions``, ``predictions_simple`` and ``models``. Every write is a merge by
+    the key of its table, so a cycle that is run again replaces its own rows.
+    """
+    rows = cut_lineage(forecast.select(
+        "issue_time", "forecast_time", lat.alias("lat"), lon.alias("lon"), F.lit("ml").alias("forecast_type"), F.lit(source).alias("source"),
+        F.lit(version).alias("model_version"), *targets))
+    day = F.to_date("issue_time")
+    merge_into(rows, f"{folder}/forecasts", upserts.FORECAST_KEYS, mode="replace", partition="issue_date", partition_of=day)
+    merge_into(forecast_to_long(rows, targets), f"{folder}/predictions", [*upserts.PREDICTION_KEYS, "lat", "lon"], mode="replace",
+               partition="issue_date", partition_of=day)
+    names = {c: n for c, n in STORED_PREDICTION.items() if c in rows.columns}
+    merge_into(simplify_prediction(rows, names), f"{folder}/predictions_simple", upserts.SIMPLE_PREDICTION_KEYS, mode="replace",
+               partition="issue_date", partition_of=day)
+    if models is not None:
+        merge_into(models.withColumn("model_version", F.lit(version)), f"{folder}/models", ["model_version", "group", "target"], mode="replace",
+                   partition="bucket", partition_of=bucket_of(["model_version", "group", "target"]))
+
+
 def training_report_rows(report: DataFrame, run_at: Column) -> DataFrame:
     """One row per target and horizon; every other column goes into a JSON text, NaN as null."""
     rest = [c for c in report.columns if c not in ("target", "horizon")]
