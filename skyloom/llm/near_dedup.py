@@ -5,12 +5,13 @@ in fewer than 2 * ``chunks`` symbols agree, up to one symbol, in at least one of
 chunk is indexed ``width`` times, each time with another of its symbols left out: every pair under the distance meets in
 at least one bucket. Candidates are confirmed on the full shingle sets.
 
-Equal sets are one node. In the first round the nodes of a bucket are compared with one of them only, drawn by a hash of
-key and node, so the buckets a group shares have different leads. The links found make components, and the second round
+Equal sets are one node. In the first round the nodes of a bucket are compared with one of them only, the first in an
+order of all nodes by hash. There are ``ORDERS`` such orders and a bucket's key names its own, so the buckets a group shares have
+that many leads at most and a node about as many partners, however many buckets it is in. The links found make components, and the second round
 compares what is left: nodes that share a bucket across components. Near misses of a large group can be many there, so
 its pairs must also share one of the rare shingles that a linked pair cannot lack: with each set in order of frequency,
-two sets of n and m shingles that need k in common share one of the first n - k + 1 and m - k + 1. Very frequent bucket keys are
-found by a Misra-Gries summary and settled without a shuffle.
+two sets of n and m shingles that need k in common share one of the first n - k + 1 and m - k + 1. Sets whose sizes rule a link
+out are not paired. Leads are minima summed up before the shuffle, and no bucket is gathered in one group.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import saved, slices, small, take_rows
 from skyloom.llm.components import connected_components
 
-SUPPORT = 1 / 1024
+ORDERS = 16
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -128,31 +129,28 @@ class NearDuplicates:
                 if batch.num_rows:
                     sign = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
                     key = _index_keys(sign, chunks, width)
-                    node = np.repeat(batch.column("node").to_numpy(), key.shape[1])
-                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node)], ["key", "node"])
+                    node, size = (np.repeat(batch.column(c).to_numpy(), key.shape[1]) for c in ("node", "n_shingles"))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node), pa.array(size)], ["key", "node", "size"])
 
-        return nodes.select("node", "signature").mapInArrow(index, "key bigint, node bigint")
+        return nodes.select("node", "n_shingles", "signature").mapInArrow(index, "key bigint, node bigint, size bigint")
 
     def buckets(self, nodes: DataFrame) -> DataFrame:
-        """(key, node, lead) of the buckets with more than one node."""
+        """(key, node, size, lead, lead_size) of the buckets with more than one node."""
         keys = self.keys(nodes)
-        draw = F.struct(F.xxhash64("key", "node").alias("draw"), "node")
-        often = keys.freqItems(["key"], SUPPORT).select(F.explode("key_freqItems").alias("key")).distinct()
-        often = saved(keys.join(F.broadcast(often), "key").groupBy("key").agg(F.min(draw)["node"].alias("lead"), F.count(F.lit(1)).alias("n"))
-                      .where("n > 1000"), "near-often")
-        hot = keys.join(F.broadcast(often.select("key", "lead")), "key").select("key", "node", "lead")
-        rest = keys.join(F.broadcast(often.select("key")), "key", "left_anti")
-        group = Window.partitionBy("key")
-        rest = (rest.select("key", "node", F.min(draw).over(group)["node"].alias("lead"), F.count(F.lit(1)).over(group).alias("n"))
-                .where("n > 1").select("key", "node", "lead"))
-        return saved(hot.unionByName(rest), "near-buckets")
+        draw = F.struct(F.xxhash64(F.pmod("key", F.lit(ORDERS)), "node").alias("draw"), "node", "size")
+        leads = keys.groupBy("key").agg(F.min(draw).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        leads = saved(leads.select("key", F.col("first.node").alias("lead"), F.col("first.size").alias("lead_size")), "near-leads")
+        return saved(keys.join(leads, "key"), "near-buckets")
+
+    def alike(self, n: str, m: str) -> Column:
+        """Whether the sizes of two sets allow a link."""
+        return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
     def close(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose set sizes allow a link and whose signatures agree in half of the symbols at least, which
-        a linked pair misses about once in 10^10."""
-        symbols, percent = self.chunks * self.width, self.percent
-        side = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"),
-                                      F.col("signature").alias(f"s_{x}"))
+        """Pairs (a, b) whose signatures agree in half of the symbols at least, which a linked pair misses about once
+        in 10^10."""
+        symbols = self.chunks * self.width
+        side = lambda x: nodes.select(F.col("node").alias(x), F.col("signature").alias(f"s_{x}"))
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -162,8 +160,7 @@ class NearDuplicates:
                     keep = pa.array(2 * _distance(left, right) <= symbols)
                     yield batch.select(["a", "b"]).filter(keep)
 
-        sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
-            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        sized = pairs.join(side("a"), "a").join(side("b"), "b")
         return sized.select("a", "b", "s_a", "s_b").mapInArrow(near, "a bigint, b bigint")
 
     def full_sets(self, wanted: DataFrame) -> DataFrame:
@@ -203,7 +200,7 @@ class NearDuplicates:
 
     def first_round(self, buckets: DataFrame, nodes: DataFrame) -> DataFrame:
         """Links between nodes and the leads of their buckets."""
-        star = buckets.where("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+        star = buckets.where(F.expr("node <> lead") & self.alike("size", "lead_size")).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
         pairs = saved(self.close(star, nodes), "near-pairs")
         return self.links(pairs, self.wanted(nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
 
@@ -226,7 +223,7 @@ class NearDuplicates:
         a, b = heads.alias("a"), heads.alias("b")
         need = F.ceil((F.col("a.n") + F.col("b.n")) * self.percent / (100 + self.percent))
         meet = ((F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node"))
-                & (F.col("a.component") != F.col("b.component"))
+                & (F.col("a.component") != F.col("b.component")) & self.alike("a.n", "b.n")
                 & (F.col("a.place") <= F.col("a.n") - need + 1) & (F.col("b.place") <= F.col("b.n") - need + 1))
         pairs = a.join(b, meet).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
         return self.links(saved(self.close(pairs, nodes), "near-pairs"), full)
