@@ -228,6 +228,24 @@ def forecast_gap_ranges(t: Tables):
     return grids.gap_ranges(rows, SNAPSHOT, ts("2024-01-05 01:00:00"), ts("2024-01-08 00:00:00"), locations=rows)
 
 
+_BY_HORIZON = " UNION ALL ".join(f"""SELECT '{c}' AS target, f.model_version, (epoch_us(f.forecast_time) - epoch_us(f.issue_time)) / 3600000000e0 AS h,
+  o.{c} AS actual, f.{c} AS predicted FROM mfc f JOIN ob o ON o.site = f.site AND o.time = f.forecast_time
+  WHERE o.{c} IS NOT NULL AND f.{c} IS NOT NULL""" for c in TARGETS)
+
+
+@query(sql("""SELECT target, model_version, horizon, count(*) AS n, avg(abs(actual - predicted)) AS mae, sqrt(avg(pow(actual - predicted, 2))) AS rmse,
+  CASE WHEN var_pop(actual) > 0 THEN 1 - sum(pow(actual - predicted, 2)) / (var_pop(actual) * count(*)) END AS r2 FROM (SELECT *, CASE WHEN h <= 0 THEN NULL
+  WHEN h <= 24 THEN '24h' WHEN h <= 48 THEN '48h' WHEN h <= 72 THEN '72h' END AS horizon FROM pairs) GROUP BY target, model_version, horizon""",
+           *_FC, sql_obs(TARGETS, name="ob"), f"pairs AS ({_BY_HORIZON})", doubles=["mae", "rmse", "r2"]))
+def metrics_by_horizon(t: Tables):
+    """Errors of every target, model version and forecast horizon against what was observed."""
+    rows = t.forecast("ml").withColumnsRenamed({c: f"p_{c}" for c in TARGETS}).withColumn("horizon", bucket("issue_time", "forecast_time"))
+    both = rows.join(t.obs(TARGETS).withColumnRenamed("time", "forecast_time"), ["site", "forecast_time"])
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("target"), F.col(c).alias("actual"), F.col(f"p_{c}").alias("predicted")) for c in TARGETS]))
+    return error_metrics(both.select("model_version", "horizon", cells.alias("x")).select("model_version", "horizon", "x.*"), "actual", "predicted",
+                         ["target", "model_version", "horizon"])
+
+
 # ---- model jobs ----------------------------------------------------------
 
 _HT = list(config.HOURLY_TARGETS)
