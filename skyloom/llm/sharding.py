@@ -1,9 +1,14 @@
 """Sharding by a weighted hash tree over regions, racks and shards.
 
-Every shard draws -ln(u) / weight for a document, u being a hash of id and shard. A rack's draw is the least of its
-shards' draws and a region's the least of its racks': exponential draws whose rates are the weights of the subtrees.
-A document descends from the root to the child with the least draw at each level, so a child takes its share by
-weight. Raising one weight, or adding a shard, lowers draws on that one path only: rows move into it and nowhere else.
+A document descends from the root. At each level every child of the node it has reached draws -ln(u) / weight, u being a
+hash of id and child and the weight that of the child's whole subtree, and the least draw wins: exponential draws, so
+a child takes its share by weight. Only the winner's children draw at the next level, so a document costs one hash per region, per rack
+of one region and per shard of one rack.
+
+A draw depends on nothing but its own child's weight. When the weight of a shard changes, the draws of its rack, its region and
+itself change and no other: rows move between regions only into (or, for a smaller weight, out of) the changed region, within it between racks
+only into the changed rack, and within that between shards only into the changed shard. Rows that enter a region are
+dealt there over all its racks. Added shards are regions of their own, so growth moves rows into them and nowhere else.
 
 DataFrame operations only; nothing but ids, sizes and checksums is shuffled.
 """
@@ -20,26 +25,42 @@ from skyloom.llm.common import saved
 BUCKET_ROWS = 100_000  # rows numbered in one task
 
 
-def weighted_tree(weights: Sequence[float], racks: int = 4, rack_shards: int = 4) -> list[list[list[tuple[int, float]]]]:
-    """Regions of ``racks`` racks of ``rack_shards`` shards, filled in shard order; shards of weight 0 get no rows."""
+Tree = list[list[list[tuple[int, float]]]]
+
+
+def weighted_tree(weights: Sequence[float], racks: int = 4, rack_shards: int = 4, added: int = 0) -> Tree:
+    """Regions of ``racks`` racks of ``rack_shards`` shards, filled in shard order; each of the last ``added`` shards is
+    a region. Shards of weight 0 get no rows while any other shard has a weight."""
     shards = [(i, float(w)) for i, w in enumerate(weights)]
-    rows = [shards[i:i + rack_shards] for i in range(0, len(shards), rack_shards)]
-    return [rows[i:i + racks] for i in range(0, len(rows), racks)]
+    old = len(shards) - added
+    rows = [shards[i:min(i + rack_shards, old)] for i in range(0, old, rack_shards)]
+    return [rows[i:i + racks] for i in range(0, len(rows), racks)] + [[[shard]] for shard in shards[old:]]
 
 
-def shard_of(doc_id: Column, tree: list[list[list[tuple[int, float]]]], seed: int = 29) -> Column:
+def _node(number: int, weight: float, below: Column) -> Column:
+    return F.struct(F.lit(number).alias("node"), F.lit(weight).alias("weight"), below.alias("below"))
+
+
+def shard_of(doc_id: Column, tree: Tree, seed: int = 29) -> Column:
     """The shard a document descends to. Null ids share one place."""
-    regions = F.array(*[F.array(*[F.array(*[F.struct(F.lit(i).alias("shard"), F.lit(w).alias("weight")) for i, w in rack])
-                                  for rack in region]) for region in tree])
+    weight = lambda rack: sum(w for _, w in rack)
+    regions = F.array(*[
+        _node(i, sum(map(weight, region)), F.array(*[
+            _node(j, weight(rack), F.array(*[_node(k, w, F.lit(0)) for k, w in rack])) for j, rack in enumerate(region)]))
+        for i, region in enumerate(tree)])
+
+    def winner(children: Column, *path: Column) -> Column:
+        def draw(x: Column) -> Column:
+            u = (F.pmod(F.xxhash64(doc_id, *path, x["node"], F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+            lot = F.when(x["weight"] > 0, -F.ln(u) / x["weight"]).otherwise(F.lit(float("inf")))
+            return F.struct(lot.alias("draw"), x["node"].alias("node"), x["below"].alias("below"))
+        return F.array_min(F.transform(children, draw))
 
-    def leaf(x: Column) -> Column:
-        u = (F.pmod(F.xxhash64(doc_id, x["shard"], F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-        draw = F.when(x["weight"] > 0, -F.ln(u) / x["weight"]).otherwise(F.lit(float("inf")))
-        return F.struct(draw.alias("draw"), x["shard"].alias("shard"))
+    def inside(top: Column) -> Column:
+        rack = F.array(winner(top["below"], F.lit("rack"), top["node"]))
+        return F.element_at(F.transform(rack, lambda r: winner(r["below"], F.lit("shard"))["node"]), 1)
 
-    rack = lambda shards: F.array_min(F.transform(shards, leaf))
-    region = lambda racks: F.array_min(F.transform(racks, rack))
-    return F.array_min(F.transform(regions, region))["shard"]
+    return F.element_at(F.transform(F.array(winner(regions, F.lit("region"))), inside), 1)
 
 
 def assign_shards(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", weights: Sequence[float] = (1.0,) * 40,
@@ -47,7 +68,8 @@ def assign_shards(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """Shard, place in the shard and the shard after growth for every row.
 
     Returns one row per input row: doc_id, size (UTF-8 bytes of the text plus 16), text_crc32, law (``key``), shard,
-    slot (0, 1, ... without gaps in every shard), grown_shard (the shard under ``grown``).
+    slot (0, 1, ... without gaps in every shard), grown_shard (the shard under ``grown``, whose shards beyond those of
+    ``weights`` are added ones).
 
     Null text counts as empty (size 16, checksum 0). Rows of one id, null included, share a shard whatever their text;
     each gets a slot of its own. Slots follow a number fixed when the table is written, dealt in pieces of about
@@ -57,7 +79,8 @@ def assign_shards(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     table = saved(docs.select(
         key.alias("doc_id"), (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 16).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col(text)), F.lit(0)).cast("long").alias("text_crc32"),
-        shard_of(key, weighted_tree(weights)).alias("shard"), shard_of(key, weighted_tree(grown)).alias("grown_shard"),
+        shard_of(key, weighted_tree(weights)).alias("shard"),
+        shard_of(key, weighted_tree(grown, added=len(grown) - len(weights))).alias("grown_shard"),
         F.monotonically_increasing_id().alias("row")), "shards")
     pieces = max(1, -(-table.count() // BUCKET_ROWS))
     table = table.withColumn("piece", F.pmod(F.xxhash64("row"), F.lit(pieces)))

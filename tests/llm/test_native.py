@@ -88,16 +88,34 @@ def test_shards(spark, rows):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
-def test_shards_follow_weights_and_move_within_the_changed_path(spark):
-    ids = spark.range(40_000)
+def descend(spark, tree, n=40_000):
+    return [r[0] for r in spark.range(n).select(shard_of(F.col("id"), tree)).collect()]
+
+
+def test_shards_follow_weights_and_move_into_the_changed_subtree(spark):
     weights = [1.0, 2.0, 0.0, 3.0, 1.0, 1.0, 4.0, 2.0, 1.0, 1.0]
-    more = [*weights[:6], 8.0, *weights[7:]]
-    trees = [weighted_tree(w, racks=2, rack_shards=2) for w in (weights, more)]
-    rows = ids.select(shard_of(F.col("id"), trees[0]).alias("a"), shard_of(F.col("id"), trees[1]).alias("b")).collect()
-    count = Counter(r["a"] for r in rows)
+    before = descend(spark, weighted_tree(weights, racks=2, rack_shards=2))
+    count = Counter(before)
     for i, w in enumerate(weights):
         assert abs(count[i] / 40_000 - w / sum(weights)) < 0.01
-    assert all(r["b"] in (r["a"], 6) for r in rows) and any(r["a"] != r["b"] for r in rows)
+    more = [*weights[:6], 8.0, *weights[7:]]
+    after = descend(spark, weighted_tree(more, racks=2, rack_shards=2))
+    moved = [(a, b) for a, b in zip(before, after) if a != b]
+    assert moved
+    for a, b in moved:  # regions hold four shards, racks two
+        assert b // 4 == 1
+        assert a // 4 != 1 or b // 2 == 3
+        assert a // 2 != 3 or b == 6
+
+
+def test_layout_counts_and_growth_takes_rows_only_into_the_new_shard(spark):
+    weights = [1.0] * 10
+    before = descend(spark, weighted_tree(weights, racks=2, rack_shards=2))
+    assert before != descend(spark, weighted_tree(weights, racks=3, rack_shards=3))
+    after = descend(spark, weighted_tree([*weights, 2.0], racks=2, rack_shards=2, added=1))
+    assert all(b in (a, 10) for a, b in zip(before, after))
+    assert abs(after.count(10) / 40_000 - 2 / 12) < 0.01
+    assert set(descend(spark, weighted_tree([0.0, 0.0, 1.0]), 50)) == {2}
 
 
 def test_empty_tables(none):
