@@ -5,13 +5,16 @@ in fewer than 2 * ``chunks`` symbols agree, up to one symbol, in at least one of
 chunk is indexed ``width`` times, each time with another of its symbols left out: every pair under the distance meets in
 at least one bucket. Candidates are confirmed on the full shingle sets.
 
-Equal sets are one node. In the first round the nodes of a bucket are compared with one of them only, the first in an
-order of all nodes by hash. There are ``ORDERS`` such orders and a bucket's key names its own, so the buckets a group shares have
-that many leads at most and a node about as many partners, however many buckets it is in. The links found make components, and the second round
-compares what is left: nodes that share a bucket across components. Near misses of a large group can be many there, so
+Equal sets are one node. Large groups are contracted first, in ``ROUNDS`` rounds, each over its own part of the buckets. A node
+of a bucket is compared with one other only, the bucket's lead, if that is in another component. The links of a round join
+components and the next round skips what they settle, so a linked group costs few pairs per node. Leads are drawn
+by hash, in favour of nodes that meet many others: the middle of a group links with most of it. There are ``ORDERS`` draws and a
+bucket's key names its own, so the buckets a group shares have few leads. The last round compares what is left: nodes that share a
+bucket across components. Near misses of a large group can be many there, so
 its pairs must also share one of the rare shingles that a linked pair cannot lack: with each set in order of frequency,
 two sets of n and m shingles that need k in common share one of the first n - k + 1 and m - k + 1. Sets whose sizes rule a link
-out are not paired. Leads are minima summed up before the shuffle, and no bucket is gathered in one group.
+out are not paired. Leads are minima summed up before the shuffle, and no bucket is gathered in one group. Full sets are
+fetched once, for the nodes that share a bucket with any other.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import saved, slices, small, take_rows
 from skyloom.llm.components import connected_components
 
-ORDERS = 16
+ROUNDS, ORDERS = 4, 16
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -86,10 +89,6 @@ def _index_keys(signature: np.ndarray, chunks: int, width: int) -> np.ndarray:
     return out.reshape(len(signature), chunks * width)
 
 
-def _distance(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left != right).sum(1)
-
-
 class NearDuplicates:
     """The tables of one run over ``docs``."""
 
@@ -135,34 +134,16 @@ class NearDuplicates:
         return nodes.select("node", "n_shingles", "signature").mapInArrow(index, "key bigint, node bigint, size bigint")
 
     def buckets(self, nodes: DataFrame) -> DataFrame:
-        """(key, node, size, lead, lead_size) of the buckets with more than one node."""
+        """(key, node, size, score) of the buckets with more than one node; ``score`` is how often the node meets others."""
         keys = self.keys(nodes)
-        draw = F.struct(F.xxhash64(F.pmod("key", F.lit(ORDERS)), "node").alias("draw"), "node", "size")
-        leads = keys.groupBy("key").agg(F.min(draw).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        leads = saved(leads.select("key", F.col("first.node").alias("lead"), F.col("first.size").alias("lead_size")), "near-leads")
-        return saved(keys.join(leads, "key"), "near-buckets")
+        shared = saved(keys.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("others")).where("others > 0"), "near-keys")
+        rows = saved(keys.join(shared, "key"), "near-buckets")
+        return saved(rows.drop("others").join(rows.groupBy("node").agg(F.sum("others").cast("double").alias("score")), "node"), "near-scored")
 
     def alike(self, n: str, m: str) -> Column:
         """Whether the sizes of two sets allow a link."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def close(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose signatures agree in half of the symbols at least, which a linked pair misses about once
-        in 10^10."""
-        symbols = self.chunks * self.width
-        side = lambda x: nodes.select(F.col("node").alias(x), F.col("signature").alias(f"s_{x}"))
-
-        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, symbols)
-                                   for c in ("s_a", "s_b"))
-                    keep = pa.array(2 * _distance(left, right) <= symbols)
-                    yield batch.select(["a", "b"]).filter(keep)
-
-        sized = pairs.join(side("a"), "a").join(side("b"), "b")
-        return sized.select("a", "b", "s_a", "s_b").mapInArrow(near, "a bigint, b bigint")
-
     def full_sets(self, wanted: DataFrame) -> DataFrame:
         """(node, shingles) of the wanted (node, doc_id, digest), from the texts again."""
         k, rows = self.shingle, wanted.count()
@@ -198,35 +179,51 @@ class NearDuplicates:
     def wanted(self, nodes: DataFrame, some: DataFrame) -> DataFrame:
         return self.full_sets(saved(nodes.join(some.distinct(), "node").select("node", "doc_id", "digest"), "near-wanted"))
 
-    def first_round(self, buckets: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Links between nodes and the leads of their buckets."""
-        star = buckets.where(F.expr("node <> lead") & self.alike("size", "lead_size")).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
-        pairs = saved(self.close(star, nodes), "near-pairs")
-        return self.links(pairs, self.wanted(nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
-
-    def second_round(self, buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Links the first round left open: between nodes that share a bucket with another component."""
-        labelled = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                                F.count(F.lit(1)).alias("n")).where("low < high and n > 2").select("key")
-        inside = saved(labelled.join(open_keys, "key").select("node", "component").distinct(), "near-open")
-        full = self.wanted(nodes, inside.select("node"))
-        terms = full.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-        often = terms.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    def heads(self, full: DataFrame) -> DataFrame:
+        """(key, node, size, place) of the rare shingles of every set: one of them at least is shared by any linked pair."""
+        terms = full.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("key"))
+        often = terms.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
         # a shingle of one node only is rarest: it leads the order but meets nothing
-        place = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
-        alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node"))
-        ranked = terms.join(often, "shingle").withColumn("place", (place + alone).cast("int"))
-        least = F.ceil(F.col("n") * self.percent / 100)
-        heads = saved(ranked.where(F.col("place") <= F.col("n") - least + 1).join(inside, "node")
-                      .select("node", "component", "n", "shingle", "place"), "near-heads")
+        place = F.row_number().over(Window.partitionBy("node").orderBy("often", "key"))
+        alone = F.col("size") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+        ranked = terms.join(often, "key").withColumn("place", (place + alone).cast("int"))
+        least = F.ceil(F.col("size") * self.percent / 100)
+        return saved(ranked.where(F.col("place") <= F.col("size") - least + 1).select("key", "node", "size", "place"), "near-heads")
+
+    def open_rows(self, rows: DataFrame, labels: DataFrame | None, more_than: int = 1) -> DataFrame:
+        """The rows of keys that reach over more than one component and number ``more_than``, with the component of their node."""
+        if labels is None:
+            return rows.withColumn("component", F.col("node"))
+        labelled = rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+        open_keys = open_keys.where((F.col("low") < F.col("high")) & (F.col("n") > more_than)).select("key")
+        return saved(labelled.join(open_keys, "key"), "near-open")
+
+    def lead_round(self, rows: DataFrame, full: DataFrame) -> DataFrame:
+        """Links between nodes and the leads of their buckets that are in another component."""
+        u = (F.pmod(F.xxhash64(F.pmod("key", F.lit(ORDERS)), "node"), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+        draw = -F.ln(u) / F.pow("score", F.lit(3.0))
+        first = F.min(F.struct(draw.alias("draw"), "node", "size", "component")).alias("lead")
+        met = rows.join(rows.groupBy("key").agg(first), "key").where((F.col("component") != F.col("lead.component")) & self.alike("size", "lead.size"))
+        pairs = met.select(F.least("lead.node", "node").alias("a"), F.greatest("lead.node", "node").alias("b"))
+        return self.links(saved(pairs.distinct(), "near-pairs"), full)
+
+    def last_round(self, buckets: DataFrame, heads: DataFrame, full: DataFrame) -> DataFrame:
+        """All links the lead rounds left open: between nodes of open buckets that share a rare shingle across components."""
+        heads = saved(heads.join(buckets.select("node").distinct(), "node"), "near-last")
         a, b = heads.alias("a"), heads.alias("b")
-        need = F.ceil((F.col("a.n") + F.col("b.n")) * self.percent / (100 + self.percent))
-        meet = ((F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node"))
-                & (F.col("a.component") != F.col("b.component")) & self.alike("a.n", "b.n")
-                & (F.col("a.place") <= F.col("a.n") - need + 1) & (F.col("b.place") <= F.col("b.n") - need + 1))
+        need = F.ceil((F.col("a.size") + F.col("b.size")) * self.percent / (100 + self.percent))
+        meet = ((F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
+                & (F.col("a.component") != F.col("b.component")) & self.alike("a.size", "b.size")
+                & (F.col("a.place") <= F.col("a.size") - need + 1) & (F.col("b.place") <= F.col("b.size") - need + 1))
         pairs = a.join(b, meet).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-        return self.links(saved(self.close(pairs, nodes), "near-pairs"), full)
+        return self.links(saved(pairs, "near-pairs"), full)
+
+    def joined(self, links: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """The components with the links added."""
+        if labels is not None:
+            links = links.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        return saved(connected_components(links), "near-labels")
 
     def run(self) -> DataFrame:
         sets = self.sets()
@@ -236,10 +233,14 @@ class NearDuplicates:
         first = saved(named.groupBy("digest").agg(F.min("row").alias("node")), "near-classes")
         nodes = saved(sets.join(first.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node"), "near-nodes")
         buckets = self.buckets(nodes)
-        links = self.first_round(buckets, nodes)
-        labels = saved(connected_components(links), "near-labels")
-        more = self.second_round(buckets, labels, nodes)
-        labels = saved(connected_components(links.unionByName(more)), "near-labels")
+        full = self.wanted(nodes, buckets.select("node"))
+        labels = None
+        for turn in range(ROUNDS):
+            part = buckets.where(F.pmod("key", F.lit(ROUNDS)) == turn)
+            labels = self.joined(self.lead_round(self.open_rows(part, labels), full), labels)
+        # in a bucket of two nodes both have met
+        left = self.open_rows(buckets, labels, more_than=2)
+        labels = self.joined(self.last_round(left, self.open_rows(self.heads(full), labels), full), labels)
 
         classes = first.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
         rows = sets.join(classes, "digest", "left").withColumn("component", F.coalesce("component", -1 - F.col("row")))

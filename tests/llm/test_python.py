@@ -18,7 +18,7 @@ from skyloom.llm.encoding import PieceEncoder
 from skyloom.llm.language import Parser, identify_language, keep_identified, training_sample
 from skyloom.llm import lm_scoring
 from skyloom.llm.lm_scoring import score_documents
-from skyloom.llm.near_dedup import drop_near_duplicates, near_duplicates
+from skyloom.llm.near_dedup import NearDuplicates, drop_near_duplicates, near_duplicates
 from skyloom.llm.packing import pack_documents, sum_of_squares
 from skyloom.llm.token_counts import CountedText, SegmentTree, count_tokens_after_edits, document_edits
 from skyloom.llm.token_store import read_tokens, store_tokens, write_tokens
@@ -232,6 +232,27 @@ def test_near_duplicates(spark, rows, k):
         assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in got)
 
 
+class Counted(NearDuplicates):
+    """Counts the pairs whose full sets are compared."""
+
+    pairs = 0
+
+    def links(self, pairs, full):
+        self.pairs += pairs.count()
+        return super().links(pairs, full)
+
+
+def test_pairs_of_a_linked_group_grow_with_its_size(spark):
+    each = []
+    for n in (300, 1200):
+        rows = family(5, n, 8, words=150)
+        run = Counted(frame(spark, rows), "doc_id", "text", 2, 80, 16, 5)
+        got = {r["doc_id"]: r["component_id"] for r in run.run().collect()}
+        assert got == {d: min(m for m, _ in members) for members in groups_of(sets_of(rows, 2)).values() for d, _ in members}
+        each.append(run.pairs / n)
+    assert each[1] <= 1.25 * each[0], each
+
+
 def test_near_duplicates_of_nothing(none):
     assert near_duplicates(none).count() == drop_near_duplicates(none).count() == 0
 
