@@ -245,7 +245,7 @@ class Counted(NearDuplicates):
 def test_pairs_of_a_linked_group_grow_with_its_size(spark):
     each = []
     for n in (300, 1200):
-        rows = family(5, n, 8, words=150)
+        rows = family(5, n, 4, words=150)  # any two differ in eight words at most, so all are linked
         run = Counted(frame(spark, rows), "doc_id", "text", 2, 80, 16, 5)
         got = {r["doc_id"]: r["component_id"] for r in run.run().collect()}
         assert got == {d: min(m for m, _ in members) for members in groups_of(sets_of(rows, 2)).values() for d, _ in members}
