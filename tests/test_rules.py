@@ -49,6 +49,21 @@ def test_nearest_station_matches_brute_force(spark):
     assert {r.site_id: r.station_id for r in got.collect()} == want
 
 
+def test_nearest_station_compares_few_stations_of_far_sites(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    sites = pd.DataFrame({"site_id": range(300), "lat": rng.uniform(-60, 60, 300), "lon": rng.uniform(-150, -60, 300)})
+    stations = pd.DataFrame({"station_id": range(500), "lat": rng.uniform(20, 21, 500), "lon": rng.uniform(80, 81, 500)})
+    stations.loc[499, ["lat", "lon"]] = stations.loc[3, ["lat", "lon"]]
+    pairs, plain = spark.sparkContext.accumulator(0), joins.haversine_km
+    counted = F.udf(lambda x: pairs.add(1) or 0.0, "double")
+    monkeypatch.setattr(joins, "haversine_km", lambda a, b, c, d: plain(a, b, c, d) + counted(c))
+    got = {r.site_id: r.station_id for r in joins.nearest_station(spark.createDataFrame(sites), spark.createDataFrame(stations)).collect()}
+    p, q = np.radians(sites.lat.to_numpy())[:, None], np.radians(stations.lat.to_numpy())[None]
+    h = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(stations.lon.to_numpy()[None] - sites.lon.to_numpy()[:, None]) / 2) ** 2
+    assert got == dict(enumerate(h.argmin(1).tolist()))
+    assert pairs.value < len(sites) * 64
+
+
 def test_upserts(spark):
     table = spark.createDataFrame([(1, 1.0, 5.0), (2, 2.0, 6.0)], "k int, a double, b double")
     batch = spark.createDataFrame([(2, 20.0, 1), (3, 30.0, 1), (2, 21.0, 2)], "k int, a double, seq int")
