@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import assert_series, collect, random_series, series_frame
+from skyloom import config
 from skyloom.operators import features as feats
 from skyloom.operators.series import Series
 from skyloom.plans.features import incremental_features
@@ -147,3 +148,24 @@ def test_imputed_grid_equals_impute_of_grid(spark):
     df = series_frame(spark, data)
     want = feats.impute(complete_grid(df, HOURLY, ["x"], fill="none"), HOURLY, ["x"])
     assert_series(feats.imputed_grid(df, HOURLY, ["x"]), collect(want))
+
+
+def test_station_matrix_shuffles_narrow_rows_only(spark):
+    hours = pd.date_range("2024-01-01", periods=400, freq="1h")
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({c: rng.normal(20, 5, 400) for c in config.STATION_TARGETS}, index=hours)
+    series = Series(step=3600, chunk=10 * 86400, complete=True)
+    base = series_frame(spark, {1: frame, 2: frame + 1}, config.STATION_TARGETS)
+    provider = base.where("hour(time) % 7 = 0").withColumnsRenamed({c: f"om_{c}" for c in config.STATION_TARGETS})
+    outlook = base.where("hour(time) % 5 = 0").select("site", "time", F.col("temperature").alias("vedas_temperature"), F.col("ghi").alias("vedas_solar_potential"))
+    matrix = feats.station_matrix(base, series, provider, outlook, gapless=True)
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(matrix._jdf.queryExecution(), "simple")
+    # The two sides of the first join, the second source, and the blocks: no shuffle carries a feature.
+    assert plan.count("Exchange hashpartitioning(site") == 4
+    got = matrix.toPandas().set_index(["site", "time"]).sort_index()
+    one = frame.copy()
+    one["om"] = frame["ghi"].where(hours.hour % 7 == 0).ffill(limit=4).fillna(0.0)
+    one["lag"], one["ema"] = frame["ghi"].shift(288), frame["ghi"].ewm(span=48, adjust=False).mean()
+    one = one.iloc[288:]
+    for c, name in (("om", "om_ghi"), ("lag", "ghi_lag288"), ("ema", "ghi_ema_48")):
+        np.testing.assert_allclose(got.loc[1][name].to_numpy(), one[c].to_numpy(), rtol=1e-9, atol=1e-9)
