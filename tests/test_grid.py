@@ -139,3 +139,16 @@ def test_dedupe(spark):
     last = {r.k: r.v for r in dedupe(df, ["k"], "seq").collect()}
     first = {r.k: r.v for r in dedupe(df, ["k"], "seq", keep="first").collect()}
     assert last == {1: None, 2: 7.0} and first == {1: 5.0, 2: 7.0}
+
+
+def test_grids_are_dealt_by_their_rows(spark, monkeypatch):
+    from skyloom.operators import series as pieces
+
+    monkeypatch.setattr(pieces, "TASK_ROWS", 50, raising=False)
+    series = Series(step=3600, chunk=86400)
+    frame = random_series(8, n=1200, holes=0.5, drop_rows=0.3)
+    rows = series_frame(spark, {1: frame, 2: frame})
+    holes = grid.complete_grid(rows, series, ["x"], fill="none")
+    for df in (holes, grid.interpolate_limit(holes, series.on_complete_grid(), ["x"], 8)):
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) >= 2300 and max(sizes) <= 400
