@@ -1,6 +1,7 @@
 """Edge rules of joins, upserts, parsers, aggregates and post-processing."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from skyloom.functions import scalar
 from skyloom.operators import aggregates, joins, models, postprocess
 from skyloom.operators import tables as views
 from skyloom.operators.series import Series
+from skyloom.session import shared_folder
 from skyloom.sources import landing, payloads, upserts, writers
 
 HOURLY = Series(step=3600, chunk=2 * 86400)
@@ -92,6 +94,18 @@ def test_merge_into_rewrites_only_touched_partitions(spark, tmp_path, mode, expe
     assert sorted(p.name for p in (tmp_path / "t" / "obs_date=2024-01-01").glob("*.parquet")) == untouched
 
 
+def test_merge_leaves_no_copies_behind(spark, tmp_path):
+    """Neither the batch nor the merged rows stay in the shared folder; without an order the last arrival wins, file order or not."""
+    shared = Path(shared_folder(spark))
+    files = lambda: {p for p in shared.rglob("*") if p.is_file()}
+    path, before = str(tmp_path / "t"), files()
+    batch = spark.range(0, 4000, 1, 7).select((F.col("id") % 1000).alias("k"), F.col("id").alias("a"), F.lit("2024-01-01").cast("timestamp").alias("time"))
+    for _ in range(2):
+        assert writers.merge_into(batch, path, ["k", "time"], mode="replace", partition_of=F.to_date("time")) == 4000
+    assert files() <= before
+    assert sorted((r.k, r.a) for r in spark.read.parquet(path).collect()) == [(k, 3000 + k) for k in range(1000)]
+
+
 def test_constraints(spark):
     df = spark.createDataFrame([(1.0, "ml"), (None, "ml"), (2.0, "x")], "lat double, kind string")
     good, bad = upserts.split_valid(df, ["lat"], {"kind": ["ml", "provider"]})
