@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from helpers import assert_series, collect, random_series, series_frame
 from skyloom import config
 from skyloom.operators import features as feats
-from skyloom.operators.series import Series
+from skyloom.operators import frames
+from skyloom.operators.series import Series, in_blocks
 from skyloom.plans.features import incremental_features
 
 HOURLY = Series(step=3600, chunk=2 * 86400)
@@ -169,3 +170,38 @@ def test_station_matrix_shuffles_narrow_rows_only(spark):
     one = one.iloc[288:]
     for c, name in (("om", "om_ghi"), ("lag", "ghi_lag288"), ("ema", "ghi_ema_48")):
         np.testing.assert_allclose(got.loc[1][name].to_numpy(), one[c].to_numpy(), rtol=1e-9, atol=1e-9)
+
+
+def test_past_frames_equal_the_windows(spark, monkeypatch):
+    """Several blocks a series and several series a batch, missing values in a row: the pass gives what the windows give, bit by bit."""
+    rng = np.random.default_rng(5)
+    index = pd.date_range("2024-01-01", periods=5000, freq="1h")
+    frames_ = {}
+    for site in (1, 2, 3):
+        values = rng.normal(20, 5, (len(index) - 1200 * site, 2))
+        values[rng.random(values.shape) < 0.3] = np.nan
+        values[100:140] = np.nan
+        values[200:260] = 7.0
+        frames_[site] = pd.DataFrame(values, columns=["a", "b"], index=index[:len(values)])
+    df = series_frame(spark, frames_, ("a", "b")).cache()
+    lags, windows = (1, 3, 96), (2, 4, 13, 96)
+    local = lambda d: d.toPandas().sort_values(["site", "time"]).reset_index(drop=True)
+    for half_full in (True, False):
+        want = local(in_blocks(df, FULL, lambda w: feats.lag_columns(["a", "b"], lags, w), lookback=96,
+                               prepare=feats.past_statistics(FULL.keys, ["a", "b"], windows, half_full=half_full)))
+        for rows in (64, 2048):
+            monkeypatch.setattr(frames, "ROWS", rows)
+            got = local(frames.past_frames(df, FULL, ["a", "b"], lags, windows, half_full=half_full))
+            assert sorted(got.columns) == sorted(want.columns)
+            pd.testing.assert_frame_equal(got[want.columns], want, check_exact=True)
+        whole = local(frames.past_frames(df, FULL, ["a", "b"], lags, windows, half_full=half_full, whole=True))
+        made = [c for c in want.columns if "_" in c]
+        pd.testing.assert_frame_equal(whole[want.columns], want.dropna(subset=made).reset_index(drop=True), check_exact=True)
+
+
+def test_matrices_have_one_pass(spark):
+    """The matrices take their frames from one Arrow pass, not from windows over wide rows."""
+    df = series_frame(spark, {1: pd.DataFrame({c: [1.0] * 60 for c in config.HOURLY_TARGETS}, index=pd.date_range("2024-01-01", periods=60, freq="1h"))},
+                      tuple(config.HOURLY_TARGETS))
+    plan = feats.hourly_matrix(df, FULL)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Window" not in plan
