@@ -37,6 +37,19 @@ def test_pieces_encode_like_whole_texts(path):
         assert [x.tolist() for x in tool.encode(texts[at:at + 300])] == [w.ids for w in want]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_many_texts_are_cut_on_their_bytes(path, monkeypatch):
+    rng = random.Random(2)
+    plain = ["", " x", "Bé, Word.", *(" ".join(rng.choice(["Wörd", "a,", "the.", "été\nne", "x1!"]) for _ in range(400)) for _ in range(60)), ""]
+    odd = ["a  b.. c", "<|endoftext|> x.", "\x01 a", "a\u0301. b", "_."]
+    texts = [*plain[:9], *odd, *plain[9:]]
+    tool, cut, alone = PieceEncoder(path), [], PieceEncoder.pieces
+    monkeypatch.setattr(PieceEncoder, "pieces", lambda self, text: cut.append(text) or alone(self, text))
+    assert [x.tolist() for x in tool.encode(texts)] == [w.ids for w in tool.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert cut == odd
+    assert [len(c) for c in tool.codes(texts)] == [len(alone(tool, t)) for t in texts]
+
+
 def plain_phrases(text, sample):
     count, at = 0, 0
     while at < len(text):
