@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import series_frame
-from skyloom.operators import aggregates, grid, joins
+from skyloom.operators import aggregates, grid, joins, series
 from skyloom.operators.series import Series
 
 SITE = Series(step=3600, chunk=30 * 86400)
@@ -119,6 +119,31 @@ def test_dense_arrivals_are_cleaned_as_one_series(spark):
         np.testing.assert_allclose(have.to_numpy(), want.to_numpy(), rtol=1e-9)
 
 
+def test_medians_of_keys_are_dealt_by_rows(spark, monkeypatch):
+    """Small keys are never ordered as one table of values; a key beyond the bound goes by ranks. Both are the exact medians."""
+    rng = np.random.default_rng(8)
+    data = pd.DataFrame({"k": np.where(np.arange(6000) % 3 == 0, -1, np.arange(6000) % 40), "x": np.round(rng.normal(size=6000), 2), "y": rng.normal(size=6000)})
+    data.loc[rng.random(6000) < 0.4, "x"] = np.nan
+    data.loc[(data["k"] == 7) | (rng.random(6000) < 0.2), "y"] = np.nan
+    df = spark.createDataFrame(data).selectExpr("k", "monotonically_increasing_id() AS i", "if(isnan(x), null, x) AS x", "if(isnan(y), null, y) AS y").cache()
+    monkeypatch.setattr(series, "TASK_ROWS", 100)
+    ranked = []
+    seen = aggregates.ordered_values
+    monkeypatch.setattr(aggregates, "ordered_values", lambda rows: ranked.append(rows) or seen(rows))
+    own = aggregates.median_fill(df, ["x", "y"], ["k"])
+    assert not ranked and own.rdd.getNumPartitions() >= 60
+    mixed = aggregates.median_fill(df, ["x", "y"], ["k"], key_rows=500)
+    assert [r["k"] for r in ranked[0].select("k").distinct().collect()] == [-1]
+    frame = df.toPandas()
+    for c in ("x", "y"):
+        frame[c] = frame[c].fillna(frame.groupby("k")[c].transform("median"))
+    want = frame.set_index("i").sort_index()
+    for got in (own, mixed):
+        have = got.toPandas().set_index("i").sort_index()
+        assert list(got.columns) == df.columns and list(have["k"]) == list(want["k"])
+        np.testing.assert_allclose(have[["x", "y"]].to_numpy(float), want[["x", "y"]].to_numpy(float), rtol=1e-12)
+
+
 def test_an_outlier_leaves_no_large_bucket(spark, monkeypatch):
     """One value of 1e12 among values near 0, nulls, equal values, and keys of their own size."""
     rng = np.random.default_rng(4)
