@@ -114,6 +114,20 @@ def test_direct_matrix_training_and_serving(spark):
     assert (day.temp_lag_1 == x[71]).all() and list(day.temperature_2m) == list(x[72:96])
 
 
+def test_serving_frames_come_back_for_first_rows_of_days(spark, monkeypatch):
+    frame, df = hourly_frame(spark)
+    made, frames = [], feats.past_frames
+    monkeypatch.setattr(feats, "past_frames", lambda *a, **kw: made.append(frames(*a, **kw)) or made[-1])
+    whole = feats.direct_matrix(df, FULL, horizon=24, gap=0, serving=True).toPandas()
+    warm = frame.index[48:]
+    assert made[0].count() == (warm.hour == 0).sum()
+    assert len(whole) == (warm >= warm[warm.hour == 0][0]).sum()
+    cut = frame.index[101]
+    late = feats.direct_matrix(df, FULL, horizon=24, gap=0, serving=True, since=F.lit(str(cut)).cast("timestamp")).toPandas()
+    want = whole[whole.target_time >= cut].sort_values("target_time").reset_index(drop=True)
+    pd.testing.assert_frame_equal(late.sort_values("target_time").reset_index(drop=True), want, rtol=1e-12)
+
+
 def test_feature_matrix_has_308_columns():
     assert len(feats.matrix_columns()) == 308
 
