@@ -5,7 +5,8 @@ into the longest phrases that occur in the sample; the fewer phrases per letter,
 language. The language with the fewest phrases, times log2 of its sample's length (the cost of naming a phrase), wins.
 
 The automata are transition tables, so a batch of documents is parsed in lockstep: one table look-up for all lanes per
-letter. Long texts are lanes of ``LANE`` letters, which costs them at most one phrase per lane.
+letter. Long texts are lanes of ``LANE`` letters, which costs them at most one phrase per lane. Workers live on after their tasks
+and keep what they took, so a batch is held in bytes, one per letter, and wider only in parts.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import slices
 
 LANE = 2048
+PART = 1 << 18  # characters that are looked up at a time
 _NEW = np.int32(1 << 30)  # flag of a transition that begins a phrase
 _MODELS: dict[int, tuple] = {}
 
@@ -91,9 +93,12 @@ def parse_table(sample: str, alphabet: dict[str, int]) -> np.ndarray:
     codes = np.array([alphabet[c] for c in sample], np.int32)
     step = suffix_automaton(codes, width)
     begin = np.where(step[0] >= 0, step[0], len(step)) | _NEW
-    table = np.vstack([np.where(step >= 0, step, begin), begin[None, :]]).astype(np.int32)
-    states, flags = table & (_NEW - 1), table & _NEW
-    table = (states * width) | flags
+    table = np.vstack([step, np.full((1, width), -1, np.int32)])
+    np.copyto(table, begin, where=table < 0)
+    flags = table & _NEW
+    table &= _NEW - 1
+    table *= width
+    table |= flags
     table[:, 0] = np.arange(len(table)) * width
     return table.ravel()
 
@@ -118,17 +123,18 @@ class Parser:
     def folded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes of all texts in a row with space runs made one, their lengths, and their numbers of letters."""
         sizes = np.array([len(t) for t in texts])
-        code = self.code[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
-        gap = code == self.space
-        before = np.empty_like(gap)
-        before[1:] = gap[:-1]
-        begins = (np.cumsum(sizes) - sizes)[sizes > 0]
-        before[begins] = True  # no space at the front
-        keep = ~(gap & before)
-        total = np.concatenate([[0], np.cumsum(keep)])
-        letters = np.concatenate([[0], np.cumsum(~gap)])
+        flat = "".join(texts)
+        code = np.empty(len(flat), self.code.dtype)
+        for a in range(0, len(flat), PART):
+            code[a:a + PART] = self.code[np.frombuffer(flat[a:a + PART].encode("utf-32-le"), np.uint32)]
+        letter = code != self.space
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
         ends = np.cumsum(sizes)
-        return code[keep], total[ends] - total[ends - sizes], letters[ends] - letters[ends - sizes]
+        begins = (ends - sizes)[sizes > 0]
+        keep[begins] = letter[begins]  # no space at the front
+        count = lambda x: np.array([np.count_nonzero(x[b - n:b]) for n, b in zip(sizes.tolist(), ends.tolist())], np.int64)
+        return code[keep], count(keep), count(letter)
 
     def phrases(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases [text, language] of folded texts laid in a row."""
@@ -137,11 +143,13 @@ class Parser:
         owner, total = np.repeat(np.arange(n_texts), lanes), int(lanes.sum())
         grid = np.zeros((total, LANE), self.code.dtype)
         first = np.cumsum(lanes) - lanes
-        at = np.repeat(first * LANE - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(flat))
-        grid.ravel()[at] = flat
+        cells, begins = grid.reshape(-1), np.cumsum(lengths) - lengths
+        for to, a, n in zip((first * LANE).tolist(), begins.tolist(), lengths.tolist()):
+            cells[to:to + n] = flat[a:a + n]
         filled = np.minimum(lengths[owner] - (np.arange(total) - first[owner]) * LANE, LANE)
         order = np.argsort(-filled, kind="stable")  # lanes that end early drop off the tail
         columns = np.ascontiguousarray(grid[order].T)
+        del grid, cells
         active = np.searchsorted(-filled[order], -np.arange(LANE), side="left")
         out = np.zeros((n_texts, len(self.tables)))
         for k, table in enumerate(self.tables):

@@ -28,10 +28,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import saved, slices, small, take_rows
+from skyloom.llm.common import saved, shuffle_partitions, slices, small, take_rows
 from skyloom.llm.components import connected_components
 
 ROUNDS, ORDERS = 4, 16
+NODES, WORDS = 1_000, 200_000  # nodes that are indexed at a time, and words whose hashes a task keeps between batches
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -104,7 +105,7 @@ class NearDuplicates:
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = _Hashes()
             for batch in slices(batches, "text"):
-                if len(hashes) > 500_000:
+                if len(hashes) > WORDS:
                     hashes.clear()
                 sets = shingle_sets(batch.column("text").to_pylist(), k, hashes)
                 full = [i for i, s in enumerate(sets) if len(s)]
@@ -121,17 +122,20 @@ class NearDuplicates:
         return saved(out.withColumn("row", F.monotonically_increasing_id()), "near-sets")
 
     def keys(self, nodes: DataFrame) -> DataFrame:
+        """(key, node, size): every node under all its bucket keys. A short signature becomes very many keys, so nodes are dealt
+        by their number, not by the bytes of their files, and indexed in small batches."""
         chunks, width = self.chunks, self.width
 
         def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if batch.num_rows:
-                    sign = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+                for part in (batch.slice(a, NODES) for a in range(0, batch.num_rows, NODES)):
+                    sign = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(part.num_rows, -1)
                     key = _index_keys(sign, chunks, width)
-                    node, size = (np.repeat(batch.column(c).to_numpy(), key.shape[1]) for c in ("node", "n_shingles"))
+                    node, size = (np.repeat(part.column(c).to_numpy(), key.shape[1]) for c in ("node", "n_shingles"))
                     yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node), pa.array(size)], ["key", "node", "size"])
 
-        return nodes.select("node", "n_shingles", "signature").mapInArrow(index, "key bigint, node bigint, size bigint")
+        dealt = nodes.select("node", "n_shingles", "signature").repartition(shuffle_partitions(nodes.sparkSession))
+        return dealt.mapInArrow(index, "key bigint, node bigint, size bigint")
 
     def buckets(self, nodes: DataFrame) -> DataFrame:
         """(key, node, size, score) of the buckets with more than one node; ``score`` is how often the node meets others."""
@@ -151,7 +155,7 @@ class NearDuplicates:
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = _Hashes()
             for batch in slices(batches, "text"):
-                if len(hashes) > 500_000:
+                if len(hashes) > WORDS:
                     hashes.clear()
                 sets = shingle_sets(batch.column("text").to_pylist(), k, hashes)
                 same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -60,6 +61,21 @@ def plain_phrases(text, sample):
     return count
 
 
+def test_batch_of_texts_is_held_in_few_bytes_a_letter():
+    """Workers keep what a batch took: wide index arrays over all its letters filled an executor in the stages after it."""
+    tool = Parser({"a": "the cat sat on the mat", "b": "le chat est sur le tapis"})
+    texts = ["the cat  sat, " * 200 + "x" * (i % 7) for i in range(1500)]
+    want = tool.classify(texts[:7])
+    tracemalloc.start()
+    try:
+        names, scores = tool.classify(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert names[:7] == want[0] and np.array_equal(scores[:7], want[1])
+    assert peak < 12 * sum(map(len, texts)), peak / sum(map(len, texts))
+
+
 def test_phrases_are_longest_matches():
     samples = {"x": "banana band and sand", "y": "the other one then there"}
     tool = Parser(samples)
@@ -270,6 +286,14 @@ def test_near_duplicates_of_nothing(none):
     assert near_duplicates(none).count() == drop_near_duplicates(none).count() == 0
 
 
+def test_nodes_are_indexed_in_even_tasks(spark):
+    """Nodes become 80 keys each, so few bytes of signatures are no reason for few tasks."""
+    run = NearDuplicates(frame(spark, family(4, 400, 4)).coalesce(1), "doc_id", "text", 2, 80, 16, 5)
+    nodes = run.sets().where("digest is not null").withColumnRenamed("row", "node")
+    each = [r["n"] for r in run.keys(nodes).groupBy(F.spark_partition_id().alias("part")).agg(F.count("key").alias("n")).collect()]
+    assert sum(each) == 80 * nodes.count() and len(each) > 1 and max(each) <= 2 * sum(each) / len(each)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (10, 11), (12, 10), (7, 7), (5, 6), (20, 19), (19, 18), (18, 20)] + [(i, i + 1) for i in range(30, 80)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
