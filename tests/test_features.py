@@ -7,6 +7,7 @@ from helpers import assert_series, collect, random_series, series_frame
 from skyloom import config
 from skyloom.operators import features as feats
 from skyloom.operators import frames
+from skyloom.operators.aggregates import key_means
 from skyloom.operators.series import Series, in_blocks
 from skyloom.plans.features import incremental_features
 
@@ -219,3 +220,33 @@ def test_matrices_have_one_pass(spark):
                       tuple(config.HOURLY_TARGETS))
     plan = feats.hourly_matrix(df, FULL)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan and "Window" not in plan
+
+
+def test_key_means_equal_plain_averages(spark):
+    rng = np.random.default_rng(8)
+    data = pd.DataFrame(rng.normal(size=(500, 3)), columns=["a", "b", "c"]).mask(rng.random((500, 3)) < 0.2)
+    data.insert(0, "site", np.sort(rng.integers(0, 5, 500)))
+    data.loc[data["site"] == 2, "b"] = np.nan
+    df = spark.createDataFrame(data).select("site", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "abc"])
+    packed = df.select("site", "a", F.array("b", "c").alias("bc"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # keys go on over batches
+    try:
+        got = [key_means(df, ["site"], ["a", "b", "c"]).toPandas(), key_means(packed, ["site"], ["a"], {"bc": ["b", "c"]}).toPandas()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = data.groupby("site").mean()
+    for found in got:
+        found = found.set_index("site").sort_index()
+        assert found["n"].tolist() == data.groupby("site").size().tolist()
+        np.testing.assert_allclose(found[["a", "b", "c"]].to_numpy(), want.to_numpy(), rtol=1e-12)
+
+
+def test_packed_matrix_holds_the_same_frames(spark):
+    source = series_frame(spark, {1: random_series(1, 60, holes=0.0)}).withColumn("y", F.col("x") * 2)
+    given = dict(measures=["x", "y"], targets=["y"], lags=(1, 3), windows=(4,), imputed=True)
+    wide = feats.feature_matrix(source, FULL, **given).orderBy("time").toPandas()
+    packed = feats.feature_matrix(source, FULL, packed="frames", **given).orderBy("time").toPandas()
+    names = frames.frame_columns(["x", "y"], (1, 3), (4,))
+    assert (np.stack(packed["frames"]) == wide[names].to_numpy()).all()
+    rest = [c for c in wide.columns if c not in names]
+    assert packed[rest].equals(wide[rest])
