@@ -250,3 +250,24 @@ def test_packed_matrix_holds_the_same_frames(spark):
     assert (np.stack(packed["frames"]) == wide[names].to_numpy()).all()
     rest = [c for c in wide.columns if c not in names]
     assert packed[rest].equals(wide[rest])
+
+
+def test_station_matrix_frames_in_arrow(spark):
+    """All statistics against pandas."""
+    index = pd.date_range("2024-01-01", periods=3000, freq="1h")  # more than one block
+    rng = np.random.default_rng(6)
+    frame = pd.DataFrame({c: rng.uniform(2, 50, 3000) for c in config.STATION_TARGETS}, index=index)
+    frame.loc[index[600:700], "dhi"] = 7.0
+    base = series_frame(spark, {1: frame}, config.STATION_TARGETS)
+    matrix = feats.station_matrix(base, FULL, gapless=True)
+    assert "Window" not in matrix._jdf.queryExecution().toString()
+    got = matrix.toPandas().set_index("time").sort_index()
+    for c in config.STATION_TARGETS:
+        want = {f"{c}_lag{k}": frame[c].shift(k) for k in config.STATION_LAGS}
+        for label, n in config.STATION_WINDOWS.items():
+            want |= {f"{c}_rmean_{label}": frame[c].rolling(n, 1).mean(), f"{c}_rstd_{label}": frame[c].rolling(n, 1).std().fillna(0)}
+        want |= {f"{c}_diff_{label}": frame[c].diff(k) for label, k in (("1h", 4), ("24h", 96))}
+        want |= {f"{c}_ema_{n}": frame[c].ewm(span=n, adjust=False).mean() for n in config.STATION_EMA_SPANS}
+        for name, values in want.items():
+            np.testing.assert_allclose(got[name].to_numpy(), values.iloc[288:].to_numpy(), rtol=1e-9, atol=1e-6 if "rstd" in name else 1e-9, err_msg=name)
+    assert (got.loc[index[660:700], "dhi_rstd_12h"] == 0).all()
